@@ -55,12 +55,13 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WIND
     sizes = [r[0] for r in items.select("n").distinct().orderBy("n").collect()]  # at most `window` numbers
     spans = None
     for n in sizes:
-        known = _grams(items.where(F.col("n") == n), n).select("item", "words", F.posexplode("mins").alias("at", "h"))
+        known = _grams(items.where(F.col("n") == n), n).select("item", "words", F.posexplode_outer("mins").alias("at", "h"))
         known = known.select("item", "h", F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("span")).distinct()
         small = known.count() <= BROADCAST_WINDOWS
         hint = F.broadcast if small else (lambda x: x)
         found = _grams(own.select("doc_id", "body", words(F.col("text")).alias("words")), n)
-        found = found.select("doc_id", "body", "words", F.posexplode("mins").alias("at", "h"))
+        # the outer form: for the inner one Spark infers a filter on size(mins) and computes it once more below
+        found = found.select("doc_id", "body", "words", F.posexplode_outer("mins").alias("at", "h"))
         found = found.join(hint(known.select("h").distinct()), "h", "left_semi")
         found = found.select("doc_id", "body", "at", F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("span"))
         found = found.join(hint(known.select("item", "span").distinct()), "span").select("doc_id", "body", "at", (F.col("at") + n).alias("to"), "item")
