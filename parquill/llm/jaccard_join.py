@@ -234,8 +234,8 @@ def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingl
     Words: [^\\x20\\x09-\\x0D]+, unchanged; a text of one to four words is one shingle. Result, one row
     per row: doc_id, class_id (least doc_id reachable over links), n_links (other rows linked
     directly, copies included), n_shingles, kept (doc_id = class_id). Texts without words, null ones
-    included, link with nothing and are kept. A null doc_id is never kept, but takes the class of its
-    text. Repeated rows count as rows. Extra columns are ignored; an empty table is fine. Pairs that
+    included, link with nothing and are kept. A null doc_id takes the class of its text, but is kept.
+    Repeated rows count as rows. Extra columns are ignored; an empty table is fine. Pairs that
     meet in no run are missed, with a probability of at most 1 - recall each.
     """
     spark = docs.sparkSession
@@ -288,5 +288,5 @@ def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingl
     done = done.select("k1", "k2", "n", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = step.select("doc_id", "k1", "k2", "n").join(done, ["k1", "k2", "n"], "left")
     class_id = F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
-    kept = F.coalesce(F.col("doc_id") == class_id, F.lit(False))
+    kept = F.coalesce(F.col("doc_id") == class_id, F.lit(True))
     return out.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n").alias("n_shingles"), kept.alias("kept"))

@@ -9,10 +9,11 @@ Gates are piecewise linear (clipped), so no exponentials are taken inside the re
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parquill.llm import _common as C
@@ -167,6 +168,11 @@ class Network:
         return out / np.maximum(out.sum(axis=1, keepdims=True), 1e-12)
 
 
+def training_rows(docs: DataFrame, fold: int = 5) -> DataFrame:
+    """What may be learned from: documents whose crc32 of the doc_id as text is not 0 modulo `fold`."""
+    return C.named(docs, "doc_id", "text", "lang").where(F.expr(f"crc32(cast(doc_id as string)) % {fold} <> 0"))
+
+
 def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Network | None:
     """A network from a bounded sample of labelled rows: `sample` documents of each language, picked by
     a hash of the doc_id, 2000 characters of each from a place that the hash gives too."""
@@ -194,6 +200,27 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Network | None:
     return network
 
 
+def predictor(spark: SparkSession, network: Network | None):
+    """A function of a text column that gives a struct of lang_pred and score."""
+    model = spark.sparkContext.broadcast(network)
+
+    @F.pandas_udf("lang_pred string, score double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        net = model.value
+        for series in batches:
+            texts = series.tolist()
+            langs, scores = [NONE] * len(texts), [0.0] * len(texts)
+            for a, b in C.chunks(texts):
+                some = [i for i in range(a, b) if net is not None and has_letter(texts[i])]
+                if some:
+                    prob = net.probabilities([texts[i].encode("utf-8", "surrogatepass") for i in some])
+                    for i, k, p in zip(some, prob.argmax(axis=1), prob.max(axis=1), strict=True):
+                        langs[i], scores[i] = net.languages[k], min(1.0, float(p))
+            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+
+    return run
+
+
 def language_id(docs: DataFrame, *, fold: int = 5, sample: int = SAMPLE, network: Network | None = None) -> DataFrame:
     """The language of every whole text, by a network that learns from documents not held out.
 
@@ -205,21 +232,6 @@ def language_id(docs: DataFrame, *, fold: int = 5, sample: int = SAMPLE, network
     """
     held = F.expr(f"crc32(cast(doc_id as string)) % {fold} = 0")
     if network is None:
-        network = fit(C.named(docs, "doc_id", "text", "lang").where(~held), sample=sample)
-    model = docs.sparkSession.sparkContext.broadcast(network)
-
-    def run(batches):
-        net = model.value
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            for a, b in C.chunks(texts):
-                some = [i for i in range(a, b) if net is not None and has_letter(texts[i])]
-                langs, scores = [NONE] * (b - a), [0.0] * (b - a)
-                if some:
-                    prob = net.probabilities([texts[i].encode("utf-8", "surrogatepass") for i in some])
-                    for i, k, p in zip(some, prob.argmax(axis=1), prob.max(axis=1), strict=True):
-                        langs[i - a], scores[i - a] = net.languages[k], min(1.0, float(p))
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].astype("Int64").to_numpy(), "lang_pred": langs, "score": scores})
-
-    out = C.named(docs, "doc_id", "text").selectExpr("cast(doc_id as long) as doc_id", "text").mapInPandas(run, "doc_id long, lang_pred string, score double")
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+        network = fit(training_rows(docs, fold), sample=sample)
+    out = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), predictor(docs.sparkSession, network)("text").alias("found"))
+    return out.select("doc_id", held.alias("held_out"), "found.lang_pred", "found.score")

@@ -54,16 +54,17 @@ def _tree(lines: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.xxhash64("line").alias("h"), F.xxhash64("mask").alias("t0"), "leaf", "family1", "family2", "mask")
 
 
-def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS) -> DataFrame:
+def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Texts without the lines whose template recurs across documents.
 
     Lines end at \\n. Result: doc_id, text (kept lines, joined again), n_lines, n_dropped. Lines of
     fewer than three tokens are kept. A template is dropped if at least `min_docs` documents hold
     it, and at least min_docs - 1 of them, and a fifth, are outside its largest family of copies. A
     null text stays null and has no lines; an empty one has one. Rows are judged by doc_id (repeated
-    ones alike, null ones as one document). Extra columns are ignored; an empty table is fine.
+    ones alike, null ones as one document). Extra columns are ignored but for those named in `keep`,
+    which come along; an empty table is fine.
     """
-    docs = named(docs, "doc_id", "text")
+    docs = named(docs, "doc_id", "text", *keep)
     tree = _tree(_lines(docs))
     rows = written(tree.drop("mask").distinct())
 
@@ -95,5 +96,5 @@ def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS) -> DataFrame:
     out = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("d_id")), "left")
     parts = F.split("text", "\n", -1)
     kept = F.when(F.col("drop").isNull(), parts).otherwise(F.filter(parts, lambda x: ~F.array_contains(F.col("drop"), F.xxhash64(x))))
-    out = out.select("doc_id", F.size(F.coalesce(parts, F.array().cast("array<string>"))).cast("long").alias("n_lines"), kept.alias("kept"))
-    return out.select("doc_id", F.array_join("kept", "\n").alias("text"), "n_lines", (F.col("n_lines") - F.size(F.coalesce("kept", F.array().cast("array<string>")))).cast("long").alias("n_dropped"))
+    out = out.select("doc_id", *keep, F.size(F.coalesce(parts, F.array().cast("array<string>"))).cast("long").alias("n_lines"), kept.alias("kept"))
+    return out.select("doc_id", *keep, F.array_join("kept", "\n").alias("text"), "n_lines", (F.col("n_lines") - F.size(F.coalesce("kept", F.array().cast("array<string>")))).cast("long").alias("n_dropped"))
