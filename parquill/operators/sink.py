@@ -17,6 +17,8 @@ from parquill.sources.footers import footers
 #: Names of codecs in Spark, and those that take a level.
 CODECS = {"none": "uncompressed", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4_raw", "zstd": "zstd"}
 LEVELS = {"zstd": "parquet.compression.codec.zstd.level", "gzip": "zlib.compress.level"}
+#: Names of gzip levels 0 to 9 in Hadoop.
+GZIP_LEVELS = ("NO_COMPRESSION", "BEST_SPEED", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "BEST_COMPRESSION")
 ANNOTATED_ONLY = ("brotli",)
 DEFAULT_LEVEL = 3
 ROW_GROUP_BYTES = 500 * 1024 * 1024
@@ -46,7 +48,10 @@ def compression_options(codec: str = "zstd", level: int | None = None) -> dict[s
         raise SettingsError(f"compression {codec!r} takes no level")
     options = {"compression": CODECS[codec]}
     if codec in LEVELS:
-        options[LEVELS[codec]] = {"zstd": str, "gzip": str}[codec](DEFAULT_LEVEL if level is None else level)
+        level = DEFAULT_LEVEL if level is None else level
+        if codec == "gzip" and not 0 <= level <= 9:
+            raise SettingsError("gzip levels are 0 to 9")
+        options[LEVELS[codec]] = GZIP_LEVELS[level] if codec == "gzip" else str(level)
     return options
 
 
