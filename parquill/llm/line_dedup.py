@@ -5,7 +5,8 @@ its first tokens. In a leaf with different lines, the prevailing token of each p
 leaf's template (a position without one is variable), and lines that agree with it in most
 positions are instances of it; any other line is its own template. A template recurs if enough
 documents hold it, not counting copies of one document: documents whose other lines begin with the
-same one, in two random orders, are a family, and the largest family does not count.
+same one, in two random orders, are a family, and the largest family does not count. Documents
+without another line are a family too.
 All lines of recurring templates are dropped.
 """
 
@@ -35,9 +36,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, line, and the two least hashes of the document's lines in two orders."""
     parts = F.split("text", "\n", -1)
     rows = docs.where("text is not null").select("doc_id", parts.alias("parts"))
+    long = F.filter("parts", lambda x: F.length(x) >= 12)
     for s in (1, 2):
-        least = F.slice(F.array_sort(F.array_distinct(F.transform(F.filter("parts", lambda x: F.length(x) >= 12), lambda x, s=s: F.xxhash64(x, F.lit(s))))), 1, 2)
-        rows = rows.withColumn(f"least{s}", least)
+        seed = F.lit(s)  # not a default of the lambda: Spark would pass the position for it
+        hashes = F.transform(long, lambda x: F.xxhash64(x, seed))  # noqa: B023
+        rows = rows.withColumn(f"least{s}", F.slice(F.array_sort(F.array_distinct(hashes)), 1, 2))
     return rows.select("doc_id", "least1", "least2", F.explode("parts").alias("line")).where(F.length("line") > 0)
 
 
@@ -50,7 +53,7 @@ def _tree(lines: DataFrame) -> DataFrame:
     for s in (1, 2):
         own = F.xxhash64("line", F.lit(s))
         other = F.when(F.get(f"least{s}", F.lit(0)) == own, F.get(f"least{s}", F.lit(1))).otherwise(F.get(f"least{s}", F.lit(0)))
-        rows = rows.withColumn(f"family{s}", F.coalesce(other, own))
+        rows = rows.withColumn(f"family{s}", F.coalesce(other, F.lit(0)))
     return rows.select("doc_id", F.xxhash64("line").alias("h"), F.xxhash64("mask").alias("t0"), "leaf", "family1", "family2", "mask")
 
 

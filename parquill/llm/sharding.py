@@ -1,8 +1,8 @@
 """Shards of equal document counts by balanced label propagation.
 
 Documents with equal texts are linked. Each starts in the shard its hash gives; in each round every
-group's members want to the shard where most of their neighbours are, and a shard admits them as
-far as its quota of rows allows. A cell, the members of a group that began in one shard, moves as
+group's members want to the shard where most of their neighbours are; moves that opposite moves make
+up for are allowed, and as many more as a shard's quota of rows has room for. A cell, the members of a group that began in one shard, moves as
 one. A group larger than a quarter of a shard is dealt into parts first, as it cannot stay whole.
 What exceeds a quota in the end, and documents without links, fill the free places.
 """
@@ -70,16 +70,22 @@ def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) ->
         wanted = there.groupBy(*own).agg(F.max(F.struct("n", F.xxhash64(*own, "shard"), "shard")).getField("shard").alias("to"))
         asked = cells.join(wanted, own)
         flow = asked.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()  # at most shards * shards rows
-        load, demand = dict.fromkeys(range(shards), 0), dict.fromkeys(range(shards), 0)
+        load, moves = dict.fromkeys(range(shards), 0), {}
         for f in flow:
             load[f["shard"]] += f["n"]
             if f["shard"] != f["to"]:
-                demand[f["to"]] += f["n"]
-        share = {s: min(1.0, max(0, quota[s] - load[s]) / demand[s]) if demand[s] else 0.0 for s in range(shards)}
+                moves[f["shard"], f["to"]] = f["n"]
+        # moves that others make up for, and as many more as fit into free places
+        swapped = {(a, b): min(n, moves.get((b, a), 0)) for (a, b), n in moves.items()}
+        more = dict.fromkeys(range(shards), 0)
+        for (a, b), n in moves.items():
+            more[b] += n - swapped[a, b]
+        free = {s: min(1.0, max(0, quota[s] - load[s]) / more[s]) if more[s] else 0.0 for s in range(shards)}
+        share = {a * shards + b: (swapped[a, b] + free[b] * (n - swapped[a, b])) / n for (a, b), n in moves.items()}
         if not any(share.values()):
             break
-        dice = F.pmod(F.xxhash64(*own, F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        goes = (F.col("shard") != F.col("to")) & (dice < _lookup(share, F.col("to")))
+        dice = F.pmod(F.xxhash64(*own, "began", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        goes = (F.col("shard") != F.col("to")) & (dice < F.coalesce(_lookup(share, F.col("shard") * shards + F.col("to")), F.lit(0.0)))
         cells = written(asked.withColumn("shard", F.when(goes, F.col("to")).otherwise(F.col("shard"))).drop("to"))
     placed = rows.join(cells.select(*own, "began", "shard"), [*own, "began"]).select("row", "shard")
     placed = _numbered(placed, "shard", n, shards)
