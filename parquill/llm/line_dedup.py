@@ -28,30 +28,32 @@ BROADCAST_LEAVES = 500_000
 
 def masked(line: Column) -> Column:
     """The line with one space between tokens and <*> for tokens with a digit."""
-    plain = F.trim(F.regexp_replace(line, r"\s+", " "))
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^ 0-9]*[0-9][^ ]*", "<*>")).otherwise(plain)
+    spaced = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r"))
+    plain = F.when(spaced, F.trim(F.regexp_replace(line, r"\s+", " "))).otherwise(F.trim(line))
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, r"[^ 0-9]*[0-9][^ ]*", "<*>")).otherwise(plain)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, line, and the two least hashes of the document's lines in two orders."""
     parts = F.split("text", "\n", -1)
     rows = docs.where("text is not null").select("doc_id", parts.alias("parts"))
-    long = F.filter("parts", lambda x: F.length(x) >= 12)
+    rows = rows.withColumn("hashes", F.transform(F.filter("parts", lambda x: F.length(x) >= 12), lambda x: F.xxhash64(x)))
     for s in (1, 2):
-        seed = F.lit(s)  # not a default of the lambda: Spark would pass the position for it
-        hashes = F.transform(long, lambda x: F.xxhash64(x, seed))  # noqa: B023
-        rows = rows.withColumn(f"least{s}", F.slice(F.array_sort(F.array_distinct(hashes)), 1, 2))
-    return rows.select("doc_id", "least1", "least2", F.explode("parts").alias("line")).where(F.length("line") > 0)
+        order = F.col("hashes") if s == 1 else F.transform("hashes", lambda h: F.xxhash64(h, F.lit(2)))
+        rows = rows.withColumn(f"least{s}", F.slice(F.array_sort(F.array_distinct(order)), 1, 2))
+    return rows.select("doc_id", "least1", "least2", F.explode("parts").alias("line"))
 
 
 def _tree(lines: DataFrame) -> DataFrame:
     """With line hash h, template t0, leaf, and families."""
     rows = lines.withColumn("mask", masked(F.col("line")))
     count = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit(""))) + 1
-    rows = rows.withColumn("n", count).where(F.col("n") >= MIN_TOKENS)
-    rows = rows.withColumn("leaf", F.xxhash64("n", F.substring_index("mask", " ", LEADING)))
+    # short lines are marked, not filtered: Spark would compute the mask again for a filter below
+    rows = rows.withColumn("n", count)
+    leaf = F.when(F.col("n") >= MIN_TOKENS, F.xxhash64("n", F.substring_index("mask", " ", LEADING))).otherwise(F.lit(0).cast("long"))
+    rows = rows.withColumn("leaf", leaf).withColumn("own1", F.xxhash64("line"))
     for s in (1, 2):
-        own = F.xxhash64("line", F.lit(s))
+        own = F.col("own1") if s == 1 else F.xxhash64("own1", F.lit(2))
         other = F.when(F.get(f"least{s}", F.lit(0)) == own, F.get(f"least{s}", F.lit(1))).otherwise(F.get(f"least{s}", F.lit(0)))
         rows = rows.withColumn(f"family{s}", F.coalesce(other, F.lit(0)))
     return rows.select("doc_id", F.xxhash64("line").alias("h"), F.xxhash64("mask").alias("t0"), "leaf", "family1", "family2", "mask")
@@ -69,7 +71,7 @@ def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ..
     """
     docs = named(docs, "doc_id", "text", *keep)
     tree = _tree(_lines(docs))
-    rows = written(tree.drop("mask").distinct())
+    rows = written(tree.drop("mask").distinct()).where("leaf <> 0")
 
     # templates of leaves that hold different lines
     leaves = rows.groupBy("leaf").agg(F.count("*").alias("c"), F.min("t0").alias("a"), F.max("t0").alias("b")).where((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf")
