@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parquill.llm import oracles
 from parquill.llm.bpe import bpe
 from parquill.llm.decontamination import decontamination
 from parquill.llm.embedding_dedup import embedding_dedup
@@ -79,4 +80,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_substring_dedup": oracles.SUBSTRING,
+        "op5_jaccard_join": oracles.JACCARD,
+        "op8_url_filter": oracles.URLS,
+        "op9_embedding_dedup": oracles.EMBEDDINGS,
+        "op10_decontamination": oracles.DECONTAMINATION,
+    }

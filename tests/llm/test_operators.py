@@ -4,6 +4,7 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -292,3 +293,12 @@ def test_queries_over_tables(spark):
     expected = [(i, n, hit, len(own), hashlib.sha256(",".join(own).encode()).hexdigest(), c) for i, n, hit, own, c in brute.contaminated(docs, items)]
     same(Q.op10_decontamination(spark, SF).collect(), expected)
     same([(r["doc_id"], r["class_id"], r["n_links"]) for r in Q.op5_jaccard_join(spark, SF).collect()], brute.jaccard(docs))
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_sql_forms(spark, name):
+    sql = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "benchmark"):
+        sql.execute(f"create view {t} as from '{SF}/{t}.parquet'")
+    expected = sql.sql(Q.oracle_sql()[name])
+    same(Q.queries()[name](spark, SF).select(*expected.columns).collect(), expected.fetchall())
