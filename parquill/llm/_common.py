@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,16 +76,43 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def chunks(texts, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """(from, to) positions whose texts have about `most` characters together."""
+def spans(sizes: list[int], most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """(from, to) positions whose sizes have a sum of about `most`."""
     start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text) if text else 0
+    for i, n in enumerate(sizes):
+        size += n
         if size >= most:
             yield start, i + 1
             start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def chunks(texts, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """(from, to) positions whose texts have about `most` characters together."""
+    return spans([len(t) if t else 0 for t in texts], most)
+
+
+def release() -> None:
+    """Gives freed memory back to the system: a Python worker outlives its task and waits beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run`, a function of batches, which gives memory back when its task ends."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
 
 
 def hashed(lists: list[list[bytes]], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:

@@ -17,12 +17,14 @@ import re
 from array import array
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from parquill.llm import _common as C
 
-CACHE_WORDS = 700_000
+#: Words whose tokens a worker keeps while it works on one partition.
+CACHE_WORDS = 200_000
 NEVER = np.int64(1) << 40
 _NONE = (1 << 40, -1)
 
@@ -210,11 +212,14 @@ class WordBpe:
             text = self.library.normalizer.normalize_str(text)
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
+    def forget(self) -> None:
+        self.plain.clear()
+        self.mapped.clear()
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """For each text the tokens as little-endian 32-bit numbers, and the text decoded from them."""
         if len(self.plain) + len(self.mapped) > CACHE_WORDS:
-            self.plain.clear()
-            self.mapped.clear()
+            self.forget()
         split = self.special_at.split if self.special_at else lambda t: [t]
         pieces = [[p for p in split(t) if p] for t in texts]
         flat = [p for ps in pieces for p in ps]
@@ -252,6 +257,7 @@ def bpe(docs: DataFrame, path: str, *, tokens: bool = True) -> DataFrame:
     """
     with open(path, encoding="utf-8") as f:
         text = f.read()
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * tokens
     content, key = docs.sparkSession.sparkContext.broadcast(text), hashlib.sha256(text.encode()).hexdigest()
 
     def run(batches):
@@ -261,20 +267,24 @@ def bpe(docs: DataFrame, path: str, *, tokens: bool = True) -> DataFrame:
             gc.freeze()
             gc.set_threshold(200_000, 50, 1000)  # the caches hold no cycles
         tool = _loaded[key]
-        for pdf in batches:
-            texts = [t or "" for t in pdf["text"].tolist()]
-            for a, b in C.chunks(texts):
-                made = tool.encode(texts[a:b])
-                out = pd.DataFrame({
-                    "doc_id": pdf["doc_id"].iloc[a:b].astype("Int64").to_numpy(),
-                    "n_tokens": [len(x) // 4 for x, _ in made],
-                    "ids_sha256": [hashlib.sha256(x).hexdigest() for x, _ in made],
-                    "decoded_sha256": [hashlib.sha256(y.encode()).hexdigest() for _, y in made],
-                })
-                if tokens:
-                    out["ids"] = [np.frombuffer(x, "<i4") for x, _ in made]
-                    out["decoded"] = [y for _, y in made]
-                yield out
+        try:
+            for batch in batches:
+                text = batch.column("text")
+                for a, b in C.spans(pc.fill_null(pc.binary_length(text), 0).to_pylist()):
+                    made = tool.encode([t or "" for t in text.slice(a, b - a).to_pylist()])
+                    sizes = np.array([len(x) // 4 for x, _ in made], np.int64)
+                    columns = [
+                        batch.column("doc_id").slice(a, b - a),
+                        pa.array(sizes),
+                        pa.array([hashlib.sha256(x).hexdigest() for x, _ in made], pa.string()),
+                        pa.array([hashlib.sha256(y.encode()).hexdigest() for _, y in made], pa.string()),
+                    ]
+                    if tokens:
+                        ids = np.frombuffer(b"".join([x for x, _ in made]), "<i4")
+                        columns += [pa.ListArray.from_arrays(np.append(0, sizes.cumsum()).astype(np.int32), pa.array(ids)), pa.array([y for _, y in made], pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            tool.forget()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * tokens
-    return C.named(docs, "doc_id", "text").selectExpr("cast(doc_id as long) as doc_id", "text").mapInPandas(run, schema)
+    return C.named(docs, "doc_id", "text").selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(C.frugal(run), schema)

@@ -243,7 +243,7 @@ def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingl
     least = num / den - MARGIN
     runs = runs_for(num / den, recall)
     docs = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    step = C.written(docs.mapInPandas(_first_pass(runs, shingle), "doc_id long, k1 long, k2 long, n long, paths array<long>, sketch binary"))
+    step = C.written(docs.mapInPandas(C.frugal(_first_pass(runs, shingle)), "doc_id long, k1 long, k2 long, n long, paths array<long>, sketch binary"))
     classes = C.written(step.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
 
     # chosen paths: split by sampled shingles until buckets are small
@@ -273,7 +273,7 @@ def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingl
     sizes = members.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(float(BUCKET))).cast("int").alias("blocks"))
     members = C.written(members.join(sizes, "leaf").join(classes.where("rep is not null"), "rep").select("rep", "leaf", "blocks", "k1", "k2", "copies"))
     wanted = spark.sparkContext.broadcast(C.bit_filter(members.select(F.col("rep").alias("v")).mapInPandas(_mixed_ids, "h long"), "h", members.count()))
-    sets = docs.mapInPandas(_sets(wanted, shingle), "rep long, k1 long, k2 long, shingles binary")
+    sets = docs.mapInPandas(C.frugal(_sets(wanted, shingle)), "rep long, k1 long, k2 long, shingles binary")
     tiles = members.join(sets, ["rep", "k1", "k2"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = tiles.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))

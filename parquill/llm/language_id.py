@@ -206,6 +206,9 @@ def predictor(spark: SparkSession, network: Network | None):
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from C.frugal(found)(batches)
+
+    def found(batches):
         net = model.value
         for series in batches:
             texts = series.tolist()
