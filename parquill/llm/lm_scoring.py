@@ -5,10 +5,11 @@ hash space, and each part is summed on its own. A part also builds its piece of
 pair with count c enters with the levels 1 .. 1 + floor(log_B c); a lookup probes the levels in
 turn until one misses, so an answer is never too low, and rarely one level too high.
 
-The filter is broadcast. Its size is bounded by `filter_bytes`: a part that would exceed its share
-leaves out its rarest pairs (the least count kept follows from the share). Words come from all
-documents either way; the base scores use exact counts: those of the most frequent words (at most
-HEAD, broadcast) in the scoring pass, those of the others by a join.
+The filter grows with what was counted: ITEM_BITS for each item, nothing is left out. Up to
+`filter_bytes` it is broadcast. A larger one stays in its parts: the distinct words and pairs of
+each chunk of documents go to the parts by a shuffle, and their levels come back to the chunk. Both
+ways give the same scores. The base scores use exact counts: those of the most frequent words (at
+most HEAD, broadcast) in the scoring pass, those of the others by a join.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from parquill.llm import _common as C
 
 #: Most words whose exact counts are broadcast: 16 bytes each.
 HEAD = 1 << 18
+#: The largest filter that is broadcast.
 FILTER_BYTES = 128 << 20
 LEVEL_BASE = 1.5
 LEVELS = 64
@@ -38,6 +40,9 @@ WORD, PAIR = 0, 1
 
 COUNTED = "kind int, seg int, data binary"
 PART = "kind int, seg int, total long, kinds long, levels array<long>, counts binary, bits long, filter binary"
+CHUNK = "chunk long, ids array<string>, texts array<string>"
+PROBE = "chunk long, kind int, seg int, data binary"
+SCORED = "row long, doc_id long, n_tokens long, head_known long, head_sum double, score double, tail array<long>"
 
 
 def _tokens(texts: list, cache: C.WordHashes):
@@ -111,7 +116,9 @@ def _places(h: np.ndarray, level, bits) -> list[np.ndarray]:
     return [(a + np.uint64(j) * b) % bits for j in range(PROBES)]
 
 
-def _summed(share: int):
+def _summed(share: int | None = None):
+    """Counts and filter of one part; only a `share` in bytes, which lm_scoring does not set, leaves out rare items."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         both = [_unpacked(x) for x in pdf["data"]]
         h, c = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both]).astype(np.int64)
@@ -122,7 +129,7 @@ def _summed(share: int):
         level = level_of(c)
         hist = np.bincount(level, minlength=LEVELS)
         items = np.cumsum((hist * np.arange(LEVELS))[::-1])[::-1]
-        least = int(np.argmax(items * ITEM_BITS <= share * 8))
+        least = 0 if share is None else int(np.argmax(items * ITEM_BITS <= share * 8))
         inside = level >= least
         bits = max(64, -(-int(items[least]) * ITEM_BITS // 64) * 64)
         held = np.zeros(bits, bool)
@@ -169,41 +176,94 @@ class Filter:
         return out
 
 
+def _sums(tokens, ids, first_row: int, words, pairs, head_, total: int, kinds: int) -> pd.DataFrame:
+    """Per document: sums over its tokens, and the hashes of words outside the head.
+
+    `words` and `pairs` give the levels of sorted distinct hashes.
+    """
+    counts, size = count_of_level(), total + kinds + 1
+    (h, before, offsets), (head, head_counts) = tokens, head_
+    one, inverse = np.unique(C.mix(h), return_inverse=True)
+    own = counts[words(one)]
+    end = own[inverse[offsets[1] - 1]]
+    p_word = ((own + 1) / size)[inverse]
+    past = np.empty(len(h))
+    past[1:] = own[inverse[:-1]]
+    past[offsets[:-1]] = end
+    two, where = np.unique(_pairs(before, h), return_inverse=True)
+    both = np.minimum(counts[pairs(two)][where], past)
+    p = np.minimum((both + PRIOR * p_word) / (past + PRIOR), 1.0)
+    at = np.minimum(np.searchsorted(head, one), max(0, len(head) - 1))
+    known = head[at] == one if len(head) else np.zeros(len(one), bool)
+    exact = np.where(known, np.log10(np.where(known, head_counts[at] if len(head) else 1, 0) + 1.0), 0.0)[inverse]
+    known = known[inverse]
+    out = pd.DataFrame({
+        "row": first_row + np.arange(len(ids)), "doc_id": pd.array([None if pd.isna(i) else int(i) for i in ids], "Int64"), "n_tokens": np.diff(offsets),
+        "head_known": np.add.reduceat(known.astype(np.int64), offsets[:-1]), "head_sum": np.add.reduceat(exact, offsets[:-1]), "score": np.add.reduceat(np.log10(p), offsets[:-1]),
+    })
+    signed = one.view(np.int64)[inverse]
+    out["tail"] = [signed[x:y][~known[x:y]] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+    return out
+
+
+def _chunked(batches):
+    """Each chunk of documents as one row."""
+    number = TaskContext.get().partitionId() << 32
+    for pdf in batches:
+        ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
+        for a, b in C.chunks(texts):
+            yield pd.DataFrame({"chunk": [number], "ids": [ids[a:b]], "texts": [texts[a:b]]})
+            number += 1
+
+
 def _scored(words_, pairs_, head_, total: int, kinds: int):
-    """Per document: sums over its tokens, and the hashes of words outside the head."""
-    counts = count_of_level()
-    size = total + kinds + 1
+    """Scores with the whole filter at hand."""
 
     def run(batches):
         cache, row = C.WordHashes(), TaskContext.get().partitionId() << 32
-        words, pairs, (head, head_counts) = words_.value, pairs_.value, head_.value
         for pdf in batches:
-            texts = pdf["text"].tolist()
+            ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
             for a, b in C.chunks(texts):
-                h, before, offsets = _tokens(texts[a:b], cache)
-                one, inverse = np.unique(C.mix(h), return_inverse=True)
-                own = counts[words.levels(one)]
-                end = own[inverse[offsets[1] - 1]]
-                p_word = ((own + 1) / size)[inverse]
-                past = np.empty(len(h))
-                past[1:] = own[inverse[:-1]]
-                past[offsets[:-1]] = end
-                two, where = np.unique(_pairs(before, h), return_inverse=True)
-                both = np.minimum(counts[pairs.levels(two)][where], past)
-                p = np.minimum((both + PRIOR * p_word) / (past + PRIOR), 1.0)
-                at = np.minimum(np.searchsorted(head, one), max(0, len(head) - 1))
-                known = head[at] == one if len(head) else np.zeros(len(one), bool)
-                exact = np.where(known, np.log10(np.where(known, head_counts[at] if len(head) else 1, 0) + 1.0), 0.0)[inverse]
-                known = known[inverse]
-                out = pd.DataFrame({
-                    "row": row + np.arange(b - a), "doc_id": pdf["doc_id"].iloc[a:b].to_numpy(), "held_out": pdf["held_out"].iloc[a:b].to_numpy(), "n_tokens": np.diff(offsets),
-                    "head_known": np.add.reduceat(known.astype(np.int64), offsets[:-1]), "head_sum": np.add.reduceat(exact, offsets[:-1]), "score": np.add.reduceat(np.log10(p), offsets[:-1]),
-                })
-                signed = one.view(np.int64)[inverse]
-                out["tail"] = [signed[x:y][~known[x:y]] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+                yield _sums(_tokens(texts[a:b], cache), ids[a:b], row, words_.value.levels, pairs_.value.levels, head_.value, total, kinds)
                 row += b - a
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+
+    return run
+
+
+def _probes(n_segments: int):
+    """The distinct words and pairs of each chunk, cut by parts of the hash space."""
+    shift = np.uint64(64 - n_segments.bit_length() + 1)
+
+    def run(batches):
+        cache = C.WordHashes()
+        for pdf in batches:
+            for chunk, texts in zip(pdf["chunk"].tolist(), pdf["texts"], strict=True):
+                h, before, _ = _tokens(list(texts), cache)
+                for kind, x in ((WORD, np.unique(C.mix(h))), (PAIR, np.unique(_pairs(before, h)))):
+                    cuts = np.searchsorted((x >> shift).astype(np.int64), np.arange(n_segments + 1)).tolist()
+                    rows = [(chunk, kind, s, x[a:b].tobytes()) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+                    yield pd.DataFrame(rows, columns=["chunk", "kind", "seg", "data"])
+
+    return run
+
+
+def _answered(probes: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+    """The levels of one part's probes, a byte each."""
+    held = Filter([(0, int(b), bytes(f)) for b, f in zip(parts["bits"], parts["filter"], strict=True)], 1) if len(parts) else None
+    levels = [np.zeros(len(x) // 8, np.uint8) if held is None else held.levels(np.frombuffer(x, np.uint64)).astype(np.uint8) for x in probes["data"]]
+    return probes[["chunk", "kind", "seg"]].assign(data=[x.tobytes() for x in levels])
+
+
+def _scored_chunk(head_, total: int, kinds: int):
+    """Scores of one chunk from the levels that came back."""
+
+    def run(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        # sorted hashes lie in the order of their parts
+        answers = answers.sort_values("seg")
+        words, pairs = (np.frombuffer(b"".join(answers["data"][answers["kind"] == kind]), np.uint8) for kind in (WORD, PAIR))
+        number = int(chunk["chunk"].iloc[0])
+        tokens = _tokens(list(chunk["texts"].iloc[0]), C.WordHashes())
+        return _sums(tokens, list(chunk["ids"].iloc[0]), 0, lambda _: words, lambda _: pairs, head_.value, total, kinds).assign(chunk=number)
 
     return run
 
@@ -221,7 +281,8 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     Tokens: words [^\\x20\\x09-\\x0D]+ with A-Z in lower case, then one end. Held out: crc32 of the
     doc_id as text, modulo `fold`, is `held_out`. Result: doc_id, held_out, n_tokens, n_known
     (tokens seen in training), train_tokens, base_score (add-one word model, exact counts), score
-    (pair counts from the filter, with PRIOR counts spread by word frequency).
+    (pair counts from the filter, with PRIOR counts spread by word frequency). A filter of more than
+    `filter_bytes` is asked by a shuffle instead of a broadcast, with the same scores.
 
     A null or empty text is a document of one token, the end. A null doc_id is scored, with null
     held_out, and not learned from. Repeated rows count each. With nothing to learn from, scores
@@ -229,10 +290,11 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     """
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     docs = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    docs = docs.withColumn("held_out", F.expr(f"crc32(cast(doc_id as string)) % {fold} = {held_out}"))
+    is_held = F.expr(f"crc32(cast(doc_id as string)) % {fold} = {held_out}")
     n_segments = C.segments(C.text_bytes(docs))
-    blobs = docs.where("not held_out").select("text").mapInPandas(_counted(n_segments), COUNTED)
-    parts = C.written(blobs.groupBy("kind", "seg").applyInPandas(_summed(filter_bytes // (2 * n_segments)), PART))
+    blobs = docs.where(~is_held).select("text").mapInPandas(C.frugal(_counted(n_segments)), COUNTED)
+    parts = C.written(blobs.groupBy("kind", "seg").applyInPandas(_summed(), PART))
+    n_bits = parts.agg(F.sum("bits")).first()[0] or 0
     totals = parts.where(f"kind = {WORD}").agg(F.sum("total"), F.sum("kinds"), *[F.sum(F.col("levels")[j]) for j in range(LEVELS)]).first()
     total, kinds, hist = totals[0] or 0, totals[1] or 0, np.array([x or 0 for x in totals[2:]])
     fits = np.flatnonzero(np.cumsum(hist[::-1])[::-1] <= HEAD)
@@ -242,15 +304,20 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     top = words.where(is_head).toArrow()
     w, c = top["w"].to_numpy().view(np.uint64), top["c"].to_numpy()
     order = np.argsort(w)
-    made = {}
-    for kind in (WORD, PAIR):
-        made[kind] = Filter([(r[0], r[1], bytes(r[2])) for r in parts.where(f"kind = {kind}").select("seg", "bits", "filter").toLocalIterator()], n_segments)
-    step = C.written(
-        docs.mapInPandas(
-            _scored(sc.broadcast(made[WORD]), sc.broadcast(made[PAIR]), sc.broadcast((w[order], c[order])), total, kinds),
-            "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_sum double, score double, tail array<long>",
-        )
-    )
+    head = sc.broadcast((w[order], c[order]))
+    texts = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    if n_bits <= filter_bytes * 8:
+        made = {}
+        for kind in (WORD, PAIR):
+            made[kind] = Filter([(r[0], r[1], bytes(r[2])) for r in parts.where(f"kind = {kind}").select("seg", "bits", "filter").toLocalIterator()], n_segments)
+        step = texts.mapInPandas(C.frugal(_scored(sc.broadcast(made[WORD]), sc.broadcast(made[PAIR]), head, total, kinds)), SCORED)
+    else:
+        chunks = C.written(texts.mapInPandas(C.frugal(_chunked), CHUNK))
+        probes = chunks.select("chunk", "texts").mapInPandas(C.frugal(_probes(n_segments)), PROBE)
+        answers = probes.groupBy("kind", "seg").cogroup(parts.select("kind", "seg", "bits", "filter").groupBy("kind", "seg")).applyInPandas(_answered, PROBE)
+        step = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_scored_chunk(head, total, kinds), SCORED + ", chunk long")
+        step = step.withColumn("row", F.monotonically_increasing_id()).drop("chunk")
+    step = C.written(step.withColumn("held_out", is_held))
     tail = step.select("row", F.explode("tail").alias("w")).join(words.where(~is_head), "w").groupBy("row")
     tail = tail.agg(F.count("*").alias("tail_known"), F.sum(F.log10(F.col("c") + F.lit(1.0))).alias("tail_sum"))
     return step.join(tail, "row", "left").select(

@@ -100,6 +100,13 @@ def test_lm_filter_bound():
     assert (f.levels(h[np.arange(20_000) % 50 == 49]) >= M.level_of(np.array([50]))[0]).all()
 
 
+def test_lm_filter_larger_than_broadcast(docs, none):
+    key = lambda r: (r["doc_id"] is None, str(r))
+    whole, routed = (sorted(M.lm_scoring(docs, filter_bytes=n).collect(), key=key) for n in (M.FILTER_BYTES, 1))
+    assert whole == routed  # no pair is left out, however small the bound
+    assert M.lm_scoring(none, filter_bytes=1).count() == 0
+
+
 def test_lines(docs, rows, none, spark):
     found = line_dedup(docs, min_docs=5).collect()
     assert len(found) == len(rows)
