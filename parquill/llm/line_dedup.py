@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from parquill.llm._common import named, written
 
 LEADING = 3
-MIN_TOKENS = 3
 MIN_DOCS = 5
 #: Share of documents outside the largest family, of a token that prevails, of positions that agree.
 OUTSIDE, PREVAILS, AGREES = 0.2, 0.5, 0.7
@@ -48,9 +47,9 @@ def _tree(lines: DataFrame) -> DataFrame:
     """With line hash h, template t0, leaf, and families."""
     rows = lines.withColumn("mask", masked(F.col("line")))
     count = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit(""))) + 1
-    # short lines are marked, not filtered: Spark would compute the mask again for a filter below
+    # blank lines are marked, not filtered: Spark would compute the mask again for a filter below
     rows = rows.withColumn("n", count)
-    leaf = F.when(F.col("n") >= MIN_TOKENS, F.xxhash64("n", F.substring_index("mask", " ", LEADING))).otherwise(F.lit(0).cast("long"))
+    leaf = F.when(F.col("line").rlike(r"(?U)\S"), F.xxhash64("n", F.substring_index("mask", " ", LEADING))).otherwise(F.lit(0).cast("long"))
     rows = rows.withColumn("leaf", leaf).withColumn("own1", F.xxhash64("line"))
     for s in (1, 2):
         own = F.col("own1") if s == 1 else F.xxhash64("own1", F.lit(2))
@@ -62,12 +61,12 @@ def _tree(lines: DataFrame) -> DataFrame:
 def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Texts without the lines whose template recurs across documents.
 
-    Lines end at \\n. Result: doc_id, text (kept lines, joined again), n_lines, n_dropped. Lines of
-    fewer than three tokens are kept. A template is dropped if at least `min_docs` documents hold
-    it, and at least min_docs - 1 of them, and a fifth, are outside its largest family of copies. A
-    null text stays null and has no lines; an empty one has one. Rows are judged by doc_id (repeated
-    ones alike, null ones as one document). Extra columns are ignored but for those named in `keep`,
-    which come along; an empty table is fine.
+    Lines end at \\n. Result: doc_id, text (kept lines, joined again), n_lines, n_dropped. Blank lines
+    are kept; a line of one or two tokens is a leaf of its own. A template is dropped if at least
+    `min_docs` documents hold it, and at least min_docs - 1 of them, and a fifth, are outside its
+    largest family of copies. A null text stays null and has no lines; an empty one has one. Rows are
+    judged by doc_id (repeated ones alike, null ones as one document). Extra columns are ignored but
+    for those named in `keep`, which come along; an empty table is fine.
     """
     docs = named(docs, "doc_id", "text", *keep)
     tree = _tree(_lines(docs))

@@ -132,6 +132,14 @@ def test_lines_general_template(spark):
     assert all("front desk" not in r["text"] and r["n_dropped"] == 1 for r in found)
 
 
+def test_lines_short(spark):
+    texts = [(i, f"own words of {p} {p * 2} stand here\n\nAdvert\n \t\n\u00a0\nPage {i}\nRead more\n{p}\n{p} {p}") for i, p in enumerate(["ann", "bob", "cleo", "dan", "eve", "fay", "gus", "hal"])]
+    found = {r["doc_id"]: r for r in line_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for i, t in texts:
+        parts = t.split("\n")
+        assert found[i]["n_dropped"] == 3 and found[i]["text"] == "\n".join(parts[:2] + parts[3:5] + parts[7:])
+
+
 def test_bpe(docs, rows, none):
     from tokenizers import Tokenizer
 
