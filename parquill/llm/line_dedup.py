@@ -3,10 +3,10 @@
 A line's tokens with digits are variable fields. Its leaf in the tree is its number of tokens and
 its first tokens. In a leaf with different lines, the prevailing token of each position makes the
 leaf's template (a position without one is variable), and lines that agree with it in most
-positions are instances of it; any other line is its own template. A template recurs if enough
-documents hold it, not counting copies of one document: documents whose other lines begin with the
-same one, in two random orders, are a family, and the largest family does not count. Documents
-without another line are a family too.
+positions are instances of it; any other line is its own template. A template is shared if enough
+different texts hold it. What stays of a text without its shared lines, and without lines that
+differ from a shared one in their first tokens only, is its body: copies have equal bodies, or none.
+A shared template recurs if enough different bodies hold it, not counting the share of the largest.
 All lines of recurring templates are dropped.
 """
 
@@ -19,7 +19,7 @@ from parquill.llm._common import named, written
 
 LEADING = 3
 MIN_DOCS = 5
-#: Share of documents outside the largest family, of a token that prevails, of positions that agree.
+#: Share of texts outside the largest family, of a token that prevails, of positions that agree.
 OUTSIDE, PREVAILS, AGREES = 0.2, 0.5, 0.7
 #: Leaves that are broadcast at most.
 BROADCAST_LEAVES = 500_000
@@ -32,30 +32,17 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(plain, r"[^ 0-9]*[0-9][^ ]*", "<*>")).otherwise(plain)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line, and the two least hashes of the document's lines in two orders."""
-    parts = F.split("text", "\n", -1)
-    rows = docs.where("text is not null").select("doc_id", parts.alias("parts"))
-    rows = rows.withColumn("hashes", F.transform(F.filter("parts", lambda x: F.length(x) >= 12), lambda x: F.xxhash64(x)))
-    for s in (1, 2):
-        order = F.col("hashes") if s == 1 else F.transform("hashes", lambda h: F.xxhash64(h, F.lit(2)))
-        rows = rows.withColumn(f"least{s}", F.slice(F.array_sort(F.array_distinct(order)), 1, 2))
-    return rows.select("doc_id", "least1", "least2", F.explode("parts").alias("line"))
-
-
-def _tree(lines: DataFrame) -> DataFrame:
-    """With line hash h, template t0, leaf, and families."""
-    rows = lines.withColumn("mask", masked(F.col("line")))
+def _tree(docs: DataFrame) -> DataFrame:
+    """Per line: doc_id, hash of the whole text, line hash h, template t0, leaf, hash of the last tokens, mask."""
+    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("copy"), F.explode(F.split("text", "\n", -1)).alias("line"))
+    rows = rows.withColumn("mask", masked(F.col("line")))
     count = F.length("mask") - F.length(F.replace("mask", F.lit(" "), F.lit(""))) + 1
     # blank lines are marked, not filtered: Spark would compute the mask again for a filter below
     rows = rows.withColumn("n", count)
     leaf = F.when(F.col("line").rlike(r"(?U)\S"), F.xxhash64("n", F.substring_index("mask", " ", LEADING))).otherwise(F.lit(0).cast("long"))
-    rows = rows.withColumn("leaf", leaf).withColumn("own1", F.xxhash64("line"))
-    for s in (1, 2):
-        own = F.col("own1") if s == 1 else F.xxhash64("own1", F.lit(2))
-        other = F.when(F.get(f"least{s}", F.lit(0)) == own, F.get(f"least{s}", F.lit(1))).otherwise(F.get(f"least{s}", F.lit(0)))
-        rows = rows.withColumn(f"family{s}", F.coalesce(other, F.lit(0)))
-    return rows.select("doc_id", F.xxhash64("line").alias("h"), F.xxhash64("mask").alias("t0"), "leaf", "family1", "family2", "mask")
+    # shorter lines have no last tokens beside the leading ones
+    last = F.when(F.col("n") >= 2 * LEADING, F.xxhash64("n", F.substring_index("mask", " ", -LEADING)))
+    return rows.select("doc_id", "copy", F.xxhash64("line").alias("h"), F.xxhash64("mask").alias("t0"), leaf.alias("leaf"), last.alias("last"), "mask")
 
 
 def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -63,13 +50,13 @@ def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ..
 
     Lines end at \\n. Result: doc_id, text (kept lines, joined again), n_lines, n_dropped. Blank lines
     are kept; a line of one or two tokens is a leaf of its own. A template is dropped if at least
-    `min_docs` documents hold it, and at least min_docs - 1 of them, and a fifth, are outside its
-    largest family of copies. A null text stays null and has no lines; an empty one has one. Rows are
+    `min_docs` different bodies hold it, and a fifth of the different texts that do are outside the
+    largest family of one body. Texts without a body are one family. A null text stays null and has no lines; an empty one has one. Rows are
     judged by doc_id (repeated ones alike, null ones as one document). Extra columns are ignored but
     for those named in `keep`, which come along; an empty table is fine.
     """
     docs = named(docs, "doc_id", "text", *keep)
-    tree = _tree(_lines(docs))
+    tree = _tree(docs)
     rows = written(tree.drop("mask").distinct()).where("leaf <> 0")
 
     # templates of leaves that hold different lines
@@ -86,15 +73,18 @@ def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ..
     same = F.expr("size(filter(zip_with(split(mask, ' '), template, (a, b) -> a = b), x -> x))")
     general = several.join(template, "leaf").where(same >= AGREES * F.size("template")).select("t0", F.xxhash64(F.lit("leaf"), "leaf").alias("t1"))
 
-    rows = rows.join(general, "t0", "left").withColumn("t", F.coalesce("t1", "t0")).select("doc_id", "h", "t", "family1", "family2")
+    rows = rows.join(general, "t0", "left").withColumn("t", F.coalesce("t1", "t0")).select("doc_id", "copy", "h", "t", "last")
     rows = written(rows)
-    held = rows.groupBy("t", "doc_id").agg(F.min("family1").alias("family1"), F.min("family2").alias("family2"))
-    recurring = None
-    for s in (1, 2):
-        families = held.groupBy("t", f"family{s}").agg(F.count("*").alias("c")).groupBy("t").agg(F.sum("c").alias(f"docs{s}"), F.max("c").alias(f"top{s}"))
-        recurring = families if recurring is None else recurring.join(families, "t")
-    outside = F.col("docs1") - F.least("top1", "top2")
-    recurring = recurring.where((F.col("docs1") >= min_docs) & (outside >= min_docs - 1) & (outside >= OUTSIDE * F.col("docs1"))).select("t")
+    # a doc_id counts once for a template, and equal texts count once
+    held = rows.groupBy("t", "doc_id").agg(F.min("copy").alias("copy")).select("t", "copy").distinct()
+    shared = written(held.groupBy("t").agg(F.count("*").alias("c")).where(F.col("c") >= min_docs).select("t"))
+    held = written(held.join(shared, "t"))
+    lasts = rows.where("last is not null").join(shared, "t", "left_semi").select("last").distinct()
+    own = rows.join(shared, "t", "left_anti").join(lasts, "last", "left_anti").select("copy", "h").distinct()
+    bodies = own.groupBy("copy").agg(F.expr("bit_xor(xxhash64(h))").alias("body"))
+    families = held.join(bodies, "copy", "left").groupBy("t", F.coalesce("body", F.lit(0)).alias("body")).agg(F.count("*").alias("c"))
+    recurring = families.groupBy("t").agg(F.sum("c").alias("texts"), F.max("c").alias("top"), F.count("*").alias("bodies"))
+    recurring = recurring.where((F.col("bodies") >= min_docs) & (F.col("texts") - F.col("top") >= OUTSIDE * F.col("texts"))).select("t")
     dropped = rows.join(recurring, "t").groupBy(F.col("doc_id").alias("d_id")).agg(F.collect_set("h").alias("drop"))
 
     out = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("d_id")), "left")

@@ -133,13 +133,34 @@ def test_lines_general_template(spark):
 
 
 def test_lines_short(spark):
-    texts = [(i, f"own words of {p} {p * 2} stand here\n\nAdvert\n \t\n\u00a0\nPage {i}\nRead more\n{p}\n{p} {p}") for i, p in enumerate(["ann", "bob", "cleo", "dan", "eve", "fay", "gus", "hal"])]
+    texts = [(i, f"{p} and {p * 2} have words here\n\nAdvert\n \t\n\u00a0\nPage {i}\nRead more\n{p}\n{p} {p}") for i, p in enumerate(["ann", "bob", "cleo", "dan", "eve", "fay", "gus", "hal"])]
     found = {r["doc_id"]: r for r in line_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     for i, t in texts:
         parts = t.split("\n")
         assert found[i]["n_dropped"] == 3 and found[i]["text"] == "\n".join(parts[:2] + parts[3:5] + parts[7:])
 
 
+def test_lines_shared_by_few_own(spark):
+    frame = [f"{w} stands on every page of this site" for w in ("menu", "header", "login", "search", "footer", "imprint", "contact", "privacy", "cookies", "sitemap")]
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(1000 + i))
+    pages = [(i, "\n".join([*frame[:5], f"{word(i)} is what page {word(i * 7)} says", *frame[5:]])) for i in range(60)]
+    tiny = [(100 + i, f"only one long line that all of these hold\n{word(i)}") for i in range(20)]
+    # each of many documents is copied, so all of its lines are held often
+    copied = [(1000 + 10 * i + k, f"{word(i)} opens the copied text\nthe frame around all copied texts here\n{word(i)} closes the copied text") for i in range(12) for k in range(10)]
+    # one document, copied with an edit of one word in each copy
+    words = [[f"{word(100 + 10 * a + b)}" for b in range(12)] for a in range(8)]
+    near = []
+    for i in range(96):
+        edited = [list(x) for x in words]
+        edited[i // 12][i % 12] = f"edit{word(i)}"
+        near.append((5000 + i, "\n".join(" ".join(x) for x in edited)))
+    found = {r["doc_id"]: r for r in line_dedup(spark.createDataFrame(pages + tiny + copied + near, "doc_id long, text string")).collect()}
+    assert all(found[i]["n_dropped"] == 10 and found[i]["text"] == t.split("\n")[5] for i, t in pages)
+    assert all(found[i]["text"] == t.split("\n")[1] for i, t in tiny)
+    assert all(found[i]["n_dropped"] == 1 and "frame" not in found[i]["text"] for i, _ in copied)
+    assert all(found[i]["n_dropped"] == 0 for i, _ in near)
+
+
 def test_bpe(docs, rows, none):
     from tokenizers import Tokenizer
 
