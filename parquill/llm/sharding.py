@@ -1,10 +1,12 @@
 """Shards of equal document counts by balanced label propagation.
 
-Documents with equal texts are linked. Each starts in the shard its hash gives; in each round every
-group's members want to the shard where most of their neighbours are; moves that opposite moves make
-up for are allowed, and as many more as a shard's quota of rows has room for. A cell, the members of a group that began in one shard, moves as
-one. A group larger than a quarter of a shard is dealt into parts first, as it cannot stay whole.
-What exceeds a quota in the end, and documents without links, fill the free places.
+Documents with equal texts are linked. Groups of more than a quarter of a shard are placed first,
+the largest first: each whole in the fullest shard that has room for it; one that fits nowhere fills
+as few shards as it can. Of the others each document starts in the shard its hash gives, in
+proportion to the room left; in each round every group's members want to the shard where most of
+their neighbours are; moves that opposite moves make up for are allowed, and as many more as a
+shard's quota of rows has room for. A cell, the members of a group that began in one shard, moves as
+one. What exceeds a quota in the end, and documents without links, fill the free places.
 """
 
 from __future__ import annotations
@@ -38,6 +40,22 @@ def _numbered(df: DataFrame, by: str, n: int, shards: int) -> DataFrame:
     return df.withColumn("rank", (F.col("nr") + F.col("start")).cast("long")).drop("nr", "start", "part")
 
 
+def _placed_first(sizes: list[int], room: dict[int, int]) -> list[list[tuple[int, int, int]]]:
+    """For each group, largest first: (shard, rows, first slot) of its parts. Takes the places from `room`."""
+    quota, out = dict(room), []
+    for left in sizes:
+        parts = []
+        while left:
+            fits = [s for s in room if room[s] >= left]
+            s = min(fits, key=lambda s: (room[s], s)) if fits else max(room, key=lambda s: (room[s], -s))
+            n = min(left, room[s])
+            parts.append((s, n, quota[s] - room[s]))
+            room[s] -= n
+            left -= n
+        out.append(parts)
+    return out
+
+
 def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """All documents in shards whose row counts differ by one at most, equal texts together.
 
@@ -46,6 +64,7 @@ def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) ->
     texts and single texts have no links; empty texts are equal texts. Null doc_ids and repeated
     rows are rows like others. Extra columns are ignored; an empty table gives an empty result.
     """
+    spark = docs.sparkSession
     body = F.coalesce(F.col("text"), F.lit(""))
     base = named(docs, "doc_id", "text").select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
@@ -55,13 +74,28 @@ def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) ->
     base = written(base)
     n = base.count()
     quota = {s: n // shards + (s < n % shards) for s in range(shards)}
-    part = max(1, n // shards // 4)
     # groups over a quarter of a shard: at most 4 * shards of them
-    hot = base.where("g1 is not null").groupBy("g1", "g2").agg(F.count("*").alias("members")).where(F.col("members") > part)
-    rows = base.select("row", "g1", "g2").where("g1 is not null").join(F.broadcast(hot), ["g1", "g2"], "left")
-    deal = F.pmod(F.xxhash64("row", F.lit(5)), F.ceil(F.coalesce("members", F.lit(1)) / F.lit(float(part)))).cast("int")
-    rows = rows.select("row", "g1", "g2", deal.alias("deal"), F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("began"))
-    own = ["g1", "g2", "deal"]
+    large = base.where("g1 is not null").groupBy("g1", "g2").agg(F.count("*").alias("members")).where(F.col("members") > max(1, n // shards // 4)).collect()
+    large.sort(key=lambda r: (-r["members"], r["g1"], r["g2"]))
+    room = dict(quota)
+    parts = [(k, *part) for k, found in enumerate(_placed_first([r["members"] for r in large], room)) for part in found]
+    first = {s: quota[s] - room[s] for s in range(shards)}
+    numbers = F.broadcast(spark.createDataFrame([(r["g1"], r["g2"], k) for k, r in enumerate(large)], "g1 long, g2 long, k int"))
+    linkable = base.select("row", "g1", "g2").where("g1 is not null")
+    ranked = _numbered(linkable.join(numbers, ["g1", "g2"]).select("row", "k"), "k", sum(r["members"] for r in large), max(1, len(large)))
+    cuts, before = [], {}
+    for k, s, size, slot in parts:
+        cuts.append((k, before.get(k, 0), before.get(k, 0) + size, s, slot))
+        before[k] = before.get(k, 0) + size
+    cuts = F.broadcast(spark.createDataFrame(cuts, "k int, low long, high long, shard int, slot long"))
+    whole = ranked.join(cuts, "k").where("rank >= low and rank < high").select("row", "shard", (F.col("slot") + F.col("rank") - F.col("low")).alias("slot"))
+    whole = written(whole)
+    # the others begin in proportion to the room left
+    ends = [sum(room[t] for t in range(s + 1)) for s in range(shards)]
+    u = F.pmod(F.xxhash64("row"), F.lit(max(1, ends[-1])))
+    began = F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends[:-1]]), lambda e: e <= u)) if shards > 1 else F.lit(0)
+    rows = linkable.join(numbers, ["g1", "g2"], "left_anti").select("row", "g1", "g2", began.cast("int").alias("began"))
+    own = ["g1", "g2"]
     cells = rows.groupBy(*own, "began").agg(F.count("*").alias("n"))
     linked = cells.groupBy(*own).agg(F.sum("n").alias("all")).where("all > 1").drop("all")
     cells = written(cells.join(linked, own).withColumn("shard", F.col("began")))
@@ -80,7 +114,7 @@ def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) ->
         more = dict.fromkeys(range(shards), 0)
         for (a, b), n in moves.items():
             more[b] += n - swapped[a, b]
-        free = {s: min(1.0, max(0, quota[s] - load[s]) / more[s]) if more[s] else 0.0 for s in range(shards)}
+        free = {s: min(1.0, max(0, room[s] - load[s]) / more[s]) if more[s] else 0.0 for s in range(shards)}
         share = {a * shards + b: (swapped[a, b] + free[b] * (n - swapped[a, b])) / n for (a, b), n in moves.items()}
         if not any(share.values()):
             break
@@ -89,7 +123,8 @@ def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) ->
         cells = written(asked.withColumn("shard", F.when(goes, F.col("to")).otherwise(F.col("shard"))).drop("to"))
     placed = rows.join(cells.select(*own, "began", "shard"), [*own, "began"]).select("row", "shard")
     placed = _numbered(placed, "shard", n, shards)
-    placed = written(placed.where(F.col("rank") < _lookup(quota, F.col("shard"))).select("row", "shard", F.col("rank").alias("slot")))
+    placed = placed.where(F.col("rank") < _lookup(room, F.col("shard"))).select("row", "shard", (F.col("rank") + _lookup(first, F.col("shard")).cast("long")).alias("slot"))
+    placed = written(placed.unionByName(whole))
     used = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     rest = base.select("row").join(placed.select("row"), "row", "left_anti").withColumn("all", F.lit(0))
     rest = _numbered(rest, "all", n * shards, 1)

@@ -226,6 +226,22 @@ def test_sharding(docs, rows, none, spark):
     assert sum(len(s) > 1 for s in shards.values()) <= 30
 
 
+def test_sharding_large_groups(spark):
+    # 8 shards of 200: groups of 0.3, 0.6 and 1 shard stay whole, one of 2.5 shards takes three
+    sizes = {"a": 500, "b": 200, "c": 120, "d": 120, "e": 60, "f": 60}
+    texts = [t for t, n in sizes.items() for _ in range(n)]
+    texts += [f"pair {k // 2}" for k in range(200)] + [f"single {k}" for k in range(1600 - 200 - len(texts))]
+    random.Random(1).shuffle(texts)
+    found = sharding(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards=8).collect()
+    slots, shards = collections.defaultdict(list), collections.defaultdict(set)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+        shards[texts[r["doc_id"]]].add(r["shard"])
+    assert len(found) == 1600 and all(sorted(slots[s]) == list(range(200)) for s in range(8))
+    assert {t: len(shards[t]) for t in sizes} == {"a": 3, "b": 1, "c": 1, "d": 1, "e": 1, "f": 1}
+    assert sum(len(shards[f"pair {k}"]) > 1 for k in range(100)) <= 10
+
+
 def test_language(docs, rows, none, spark):
     found = L.language_id(docs).collect()
     assert len(found) == len(rows)
