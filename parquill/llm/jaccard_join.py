@@ -4,8 +4,9 @@
    every class: its first, second and third shingle in that order. Classes are split by the first;
    buckets over BUCKET are split by the next one, and so on.
 2. Buckets are searched by brute force over 128-byte sketches, with a margin, and give a spanning
-   forest. A pair of similarity s meets in a run with probability s**depth; RUNS follows from the
-   target recall at the threshold and the full depth. A bucket still too large after the last
+   forest. A path is drawn without replacement, so a pair with I common shingles of U meets in a run
+   with probability I(I-1)(I-2) / U(U-1)(U-2), less than s**3 and least for small sets; the number
+   of runs follows from the target recall for the worst sets at the threshold and the full depth. A bucket still too large after the last
    split is compared in tiles, so none is left out.
 3. Each component of the forest is gathered once with its whole shingle sets, and all its pairs are
    decided exactly, larger ones in tiles; only counts and a forest leave a task, never the pairs.
@@ -34,8 +35,18 @@ MARGIN = 0.18
 BUNDLE = 20_000
 
 
+def meets(threshold: float, depth: int = DEPTH) -> float:
+    """Least probability that two different sets at the threshold, with `depth` common shingles or more, meet in a run."""
+    least = threshold**depth  # of very large sets
+    for union in range(depth + 1, 1000):
+        common = max(depth, math.ceil(threshold * union - 1e-9))
+        if common < union:
+            least = min(least, math.comb(common, depth) / math.comb(union, depth))
+    return least
+
+
 def runs_for(threshold: float, recall: float = RECALL, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))
+    return math.ceil(math.log(1 - recall) / math.log(1 - meets(threshold, depth)))
 
 
 def shingle_sets(texts: list, cache: C.WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:

@@ -207,6 +207,19 @@ def test_jaccard_tiles(spark, monkeypatch):
     same([(r["doc_id"], r["class_id"], r["n_links"]) for r in found], brute.jaccard(texts))
 
 
+def test_jaccard_runs_for_small_sets():
+    from parquill.llm import jaccard_join as J
+
+    # 4 common shingles of 5: the smallest different sets at the threshold
+    x = np.random.default_rng(3).integers(0, 1 << 63, (4000, 5)).astype(np.uint64)
+    runs = 10
+    whole = J.paths_of(x.ravel(), np.arange(4000) * 5, np.full(4000, 5), runs, J.DEPTH)[:, J.DEPTH - 1 :: J.DEPTH]
+    part = J.paths_of(x[:, :4].ravel(), np.arange(4000) * 4, np.full(4000, 4), runs, J.DEPTH)[:, J.DEPTH - 1 :: J.DEPTH]
+    meets = (whole == part).mean()
+    assert abs(meets - 0.4) < 0.02 and math.isclose(J.meets(0.8), 0.4)
+    assert (1 - 0.4) ** J.runs_for(0.8) <= 1 - J.RECALL
+
+
 def test_sharding(docs, rows, none, spark):
     found = sharding(docs, shards=7).collect()
     assert len(found) == len(rows)
