@@ -18,15 +18,15 @@ from parquill.llm.line_dedup import line_dedup
 from parquill.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Least score of a predicted language.
-MIN_SCORE = 0.5
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a language: `und`, or a score under MIN_SCORE."""
+    """Rejects texts without a language, `und`; none if no labelled row teaches languages."""
     docs = docs.select(*COLUMNS)
-    found = docs.withColumn("found", predictor(spark, fit(training_rows(docs)))("text"))
-    return found.where((F.col("found.lang_pred") != "und") & (F.col("found.score") >= MIN_SCORE)).select(*COLUMNS)
+    network = fit(training_rows(docs))
+    if network is None:
+        return docs
+    return docs.withColumn("found", predictor(spark, network)("text")).where(F.col("found.lang_pred") != "und").select(*COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

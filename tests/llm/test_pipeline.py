@@ -34,3 +34,13 @@ def test_empty(spark):
     for _, stage in P.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0
+
+
+def test_language_keeps_short_and_unlabelled(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    short = docs.selectExpr("doc_id + 1000000 as doc_id", "concat(substring(text, 1, 3), ' 12345 67890 #') as text", "cast(null as string) as lang", "source", "n_chars")
+    both = docs.select(*P.COLUMNS).unionByName(short)
+    found = {r["doc_id"] for r in P.identify(spark, both, SF).collect()}
+    assert found == {r["doc_id"] for r in both.collect() if any(c.isalpha() for c in r["text"])}
+    unlabelled = docs.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
+    assert P.identify(spark, unlabelled, SF).count() == docs.count()
