@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -26,21 +28,42 @@ TOP = np.uint64(MASK)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir; a temporary one only in local mode."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.conf.get("parquill.checkpoint.dir", None)
         if not found:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             found = tempfile.mkdtemp(prefix="parquill-")
             spark.conf.set("parquill.checkpoint.dir", found)
     return found
 
 
+def _hadoop(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: cuts the lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/parquill-{uuid.uuid4().hex}"
+    """df as a table in the shared folder: cuts the lineage and survives lost executors.
+
+    Deleted when the driver ends, or earlier by discard().
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/parquill-{uuid.uuid4().hex}"
+    at, fs = _hadoop(spark, path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fs.deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a written table that nothing will read again."""
+    at, fs = _hadoop(df.sparkSession, df._written_at)
+    fs.delete(at, True)
 
 
 def text_bytes(df: DataFrame, column: str = "text") -> int:
@@ -102,6 +125,18 @@ def release() -> None:
         pass
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """While tables are written inside, rows go to Python in smaller lots, as texts are large rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """`run`, a function of batches, which gives memory back when its task ends."""
 

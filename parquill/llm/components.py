@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parquill.llm._common import written
+from parquill.llm._common import discard, written
 
 
 def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +50,9 @@ def components(links: DataFrame) -> DataFrame:
         large = written(large.where("u <> v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last, edges = edges, written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        discard(large)
+        discard(last)
         now = _sum(edges)
         if now == before:
             break

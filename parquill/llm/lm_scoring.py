@@ -1,9 +1,11 @@
 """Bigram scores from a log-frequency Bloom filter.
 
-Counts: every task counts the words and word pairs of its documents, splits them by parts of the
-hash space, and each part is summed on its own. A part also builds its piece of the filter: a
-pair with count c enters with the levels 1 .. 1 + floor(log_B c); a lookup probes the levels in
-turn until one misses, so an answer is never too low, and rarely one level too high.
+Counts: every task counts the words and word pairs of its documents and deals them to at most FAN
+parts of the hash space, so that what it sends stays in few pieces however large the input is; where
+more parts are needed, further rounds merge a part's pieces and deal them on. Each part is summed on
+its own. A part also builds its piece of the filter: a pair with count c enters with the levels
+1 .. 1 + floor(log_B c); a lookup probes the levels in turn until one misses, so an answer is never
+too low, and rarely one level too high.
 
 The filter grows with what was counted: ITEM_BITS for each item, nothing is left out. Up to
 `filter_bytes` it is broadcast. A larger one stays in its parts: the distinct words and pairs of
@@ -32,11 +34,18 @@ ITEM_BITS = 8
 PROBES = 4
 #: Weight of the word's own frequency against the pair's, in counts.
 PRIOR = 4.0
-#: Tokens that a task counts at a time.
-TOKENS = 2_500_000
+#: Tokens that a task counts at a time, and bytes of text that it takes in and scores at a time.
+TOKENS = 1_000_000
+BYTES = 2 << 20
+#: Parts that a task deals to at once, bytes of text for each part in the end, and bytes of counts merged at a time.
+FAN = 1024
+PART_BYTES = 4 << 20
+MERGED = 8 << 20
 #: Not words, as words hold no space.
 END, START = b" end", b" start"
 WORD, PAIR = 0, 1
+#: The largest count that a piece holds for a hash.
+MOST = (1 << 32) - 1
 
 COUNTED = "kind int, seg int, data binary"
 PART = "kind int, seg int, total long, kinds long, levels array<long>, counts binary, bits long, filter binary"
@@ -73,21 +82,32 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, np.frombuffer(data, np.uint32, n, 8 * n)
 
 
-def _counted(n_segments: int):
-    shift = np.uint64(64 - n_segments.bit_length() + 1)
+def _shift(n_parts: int) -> np.uint64:
+    """By how much hashes are shifted for their part; n_parts is a power of two."""
+    return np.uint64(64 - n_parts.bit_length() + 1)
 
+
+def _dealt(h: np.ndarray, n_parts: int) -> list[tuple[int, int, int]]:
+    """(part, from, to) of sorted hashes, for parts that hold some."""
+    if n_parts == 1 or not len(h):
+        return [(0, 0, len(h))] * (len(h) > 0)
+    part = (h >> _shift(n_parts)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    return list(zip(part[first].tolist(), first.tolist(), [*first[1:].tolist(), len(h)], strict=True))
+
+
+def _counted(n_parts: int):
     def emit(held):
         for kind in (WORD, PAIR):
             h, counts = np.unique(np.concatenate([x[kind] for x in held]), return_counts=True)
-            cuts = np.searchsorted((h >> shift).astype(np.int64), np.arange(n_segments + 1)).tolist()
-            rows = [(kind, s, _packed(h[a:b], counts[a:b])) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            rows = [(kind, s, _packed(h[a:b], counts[a:b])) for s, a, b in _dealt(h, n_parts)]
             yield pd.DataFrame(rows, columns=["kind", "seg", "data"])
 
     def run(batches):
         cache, held, size = C.WordHashes(), [], 0
         for pdf in batches:
             texts = pdf["text"].tolist()
-            for a, b in C.chunks(texts):
+            for a, b in C.chunks(texts, BYTES):
                 h, before, _ = _tokens(texts[a:b], cache)
                 held.append((C.mix(h), _pairs(before, h)))
                 size += len(h)
@@ -100,6 +120,43 @@ def _counted(n_segments: int):
     return run
 
 
+def _merged(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted hashes of several pieces, with their summed counts."""
+    both = [_unpacked(x) for x in pieces]
+    h, c = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both]).astype(np.int64)
+    order = np.argsort(h, kind="stable")
+    h, c = h[order], c[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return h[first], np.add.reduceat(c, first)
+
+
+def _dealt_on(n_parts: int):
+    """Pieces of few parts merged and cut for more parts; counts beyond 32 bits go in several pieces."""
+
+    def emit(held):
+        for kind, pieces in held.items():
+            h, c = _merged(pieces)
+            while len(h):
+                now = np.minimum(c, MOST)
+                rows = [(kind, s, _packed(h[a:b], now[a:b])) for s, a, b in _dealt(h, n_parts)]
+                yield pd.DataFrame(rows, columns=["kind", "seg", "data"])
+                more = c > MOST
+                h, c = h[more], c[more] - MOST
+
+    def run(batches):
+        held, size = {}, 0
+        for pdf in batches:
+            for kind, data in zip(pdf["kind"].tolist(), pdf["data"], strict=True):
+                held.setdefault(kind, []).append(data)
+                size += len(data)
+                if size >= MERGED:
+                    yield from emit(held)
+                    held, size = {}, 0
+        yield from emit(held)
+
+    return run
+
+
 def level_of(counts: np.ndarray) -> np.ndarray:
     return np.minimum(1 + np.floor(np.log(counts) / np.log(LEVEL_BASE) + 1e-9).astype(np.int64), LEVELS - 1)
 
@@ -116,41 +173,31 @@ def _places(h: np.ndarray, level, bits) -> list[np.ndarray]:
     return [(a + np.uint64(j) * b) % bits for j in range(PROBES)]
 
 
-def _summed(share: int | None = None):
-    """Counts and filter of one part; only a `share` in bytes, which lm_scoring does not set, leaves out rare items."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        both = [_unpacked(x) for x in pdf["data"]]
-        h, c = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both]).astype(np.int64)
-        order = np.argsort(h, kind="stable")
-        h, c = h[order], c[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        h, c = h[first], np.add.reduceat(c, first)
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Counts and filter of one part."""
+    try:
+        h, c = _merged(list(pdf["data"]))
         level = level_of(c)
         hist = np.bincount(level, minlength=LEVELS)
-        items = np.cumsum((hist * np.arange(LEVELS))[::-1])[::-1]
-        least = 0 if share is None else int(np.argmax(items * ITEM_BITS <= share * 8))
-        inside = level >= least
-        bits = max(64, -(-int(items[least]) * ITEM_BITS // 64) * 64)
+        bits = max(64, -(-int((hist * np.arange(LEVELS)).sum()) * ITEM_BITS // 64) * 64)
         held = np.zeros(bits, bool)
-        at, levels = h[inside], level[inside]
-        for j in range(1, int(levels.max(initial=0)) + 1):
-            for p in _places(at[levels >= j], j, np.uint64(bits)):
+        for j in range(1, int(level.max(initial=0)) + 1):
+            for p in _places(h[level >= j], j, np.uint64(bits)):
                 held[p.astype(np.int64)] = True
         kind = int(pdf["kind"].iloc[0])
         return pd.DataFrame({
             "kind": [kind], "seg": [int(pdf["seg"].iloc[0])], "total": [int(c.sum())], "kinds": [len(h)], "levels": [hist.tolist()],
             "counts": [h.tobytes() + c.tobytes() if kind == WORD else None], "bits": [bits], "filter": [np.packbits(held).tobytes()],
         })
-
-    return run
+    finally:
+        C.release()
 
 
 class Filter:
     """All parts of the filter of one kind, for lookups."""
 
     def __init__(self, parts: list[tuple[int, int, bytes]], n_segments: int):
-        self.shift = np.uint64(64 - n_segments.bit_length() + 1)
+        self.shift = _shift(n_segments) if n_segments > 1 else None
         self.bits, self.start = np.ones(n_segments, np.uint64), np.zeros(n_segments, np.uint64)
         size, data = 1, [b"\0"]
         for seg, bits, held in parts:
@@ -161,7 +208,7 @@ class Filter:
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """Highest level up to which all probes hit."""
-        seg = (h >> self.shift).astype(np.int64)
+        seg = (h >> self.shift).astype(np.int64) if self.shift is not None else np.zeros(len(h), np.int64)
         bits, start = self.bits[seg], self.start[seg]
         out, left = np.zeros(len(h), np.int64), np.arange(len(h))
         for j in range(1, LEVELS):
@@ -211,7 +258,7 @@ def _chunked(batches):
     number = TaskContext.get().partitionId() << 32
     for pdf in batches:
         ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
-        for a, b in C.chunks(texts):
+        for a, b in C.chunks(texts, BYTES):
             yield pd.DataFrame({"chunk": [number], "ids": [ids[a:b]], "texts": [texts[a:b]]})
             number += 1
 
@@ -223,7 +270,7 @@ def _scored(words_, pairs_, head_, total: int, kinds: int):
         cache, row = C.WordHashes(), TaskContext.get().partitionId() << 32
         for pdf in batches:
             ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
-            for a, b in C.chunks(texts):
+            for a, b in C.chunks(texts, BYTES):
                 yield _sums(_tokens(texts[a:b], cache), ids[a:b], row, words_.value.levels, pairs_.value.levels, head_.value, total, kinds)
                 row += b - a
 
@@ -232,7 +279,6 @@ def _scored(words_, pairs_, head_, total: int, kinds: int):
 
 def _probes(n_segments: int):
     """The distinct words and pairs of each chunk, cut by parts of the hash space."""
-    shift = np.uint64(64 - n_segments.bit_length() + 1)
 
     def run(batches):
         cache = C.WordHashes()
@@ -240,8 +286,7 @@ def _probes(n_segments: int):
             for chunk, texts in zip(pdf["chunk"].tolist(), pdf["texts"], strict=True):
                 h, before, _ = _tokens(list(texts), cache)
                 for kind, x in ((WORD, np.unique(C.mix(h))), (PAIR, np.unique(_pairs(before, h)))):
-                    cuts = np.searchsorted((x >> shift).astype(np.int64), np.arange(n_segments + 1)).tolist()
-                    rows = [(chunk, kind, s, x[a:b].tobytes()) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+                    rows = [(chunk, kind, s, x[a:b].tobytes()) for s, a, b in _dealt(x, n_segments)]
                     yield pd.DataFrame(rows, columns=["chunk", "kind", "seg", "data"])
 
     return run
@@ -275,7 +320,7 @@ def _words_of_parts(batches):
             yield pd.DataFrame({"w": np.frombuffer(data, np.int64, n), "c": np.frombuffer(data, np.int64, n, 8 * n)})
 
 
-def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_bytes: int = FILTER_BYTES, fan: int = FAN) -> DataFrame:
     """Log10 probabilities of all texts under a bigram model of the documents not held out.
 
     Tokens: words [^\\x20\\x09-\\x0D]+ with A-Z in lower case, then one end. Held out: crc32 of the
@@ -284,16 +329,22 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     (pair counts from the filter, with PRIOR counts spread by word frequency). A filter of more than
     `filter_bytes` is asked by a shuffle instead of a broadcast, with the same scores.
 
-    A null or empty text is a document of one token, the end. A null doc_id is scored, with null
+    A null or empty text is a document of one token, the end. A very long text is scored whole, by the
+    task that holds its row. A null doc_id is scored, with null
     held_out, and not learned from. Repeated rows count each. With nothing to learn from, scores
     are those of unseen words. Extra columns are ignored; an empty table gives an empty result.
     """
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     docs = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_held = F.expr(f"crc32(cast(doc_id as string)) % {fold} = {held_out}")
-    n_segments = C.segments(C.text_bytes(docs))
-    blobs = docs.where(~is_held).select("text").mapInPandas(C.frugal(_counted(n_segments)), COUNTED)
-    parts = C.written(blobs.groupBy("kind", "seg").applyInPandas(_summed(), PART))
+    n_segments = C.segments(C.text_bytes(docs), each=PART_BYTES)
+    n_parts = min(n_segments, fan)
+    with C.small_batches(spark):
+        blobs = docs.where(~is_held).select("text").mapInPandas(C.frugal(_counted(n_parts)), COUNTED)
+        while n_parts < n_segments:
+            n_parts = min(n_segments, n_parts * fan)
+            blobs = blobs.repartition("kind", "seg").mapInPandas(C.frugal(_dealt_on(n_parts)), COUNTED)
+        parts = C.written(blobs.groupBy("kind", "seg").applyInPandas(_summed, PART))
     n_bits = parts.agg(F.sum("bits")).first()[0] or 0
     totals = parts.where(f"kind = {WORD}").agg(F.sum("total"), F.sum("kinds"), *[F.sum(F.col("levels")[j]) for j in range(LEVELS)]).first()
     total, kinds, hist = totals[0] or 0, totals[1] or 0, np.array([x or 0 for x in totals[2:]])
@@ -306,18 +357,21 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     order = np.argsort(w)
     head = sc.broadcast((w[order], c[order]))
     texts = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
-    if n_bits <= filter_bytes * 8:
+    # each part of a broadcast filter costs 16 bytes more for each kind
+    if n_bits // 8 + 32 * n_segments <= filter_bytes:
         made = {}
         for kind in (WORD, PAIR):
             made[kind] = Filter([(r[0], r[1], bytes(r[2])) for r in parts.where(f"kind = {kind}").select("seg", "bits", "filter").toLocalIterator()], n_segments)
         step = texts.mapInPandas(C.frugal(_scored(sc.broadcast(made[WORD]), sc.broadcast(made[PAIR]), head, total, kinds)), SCORED)
     else:
-        chunks = C.written(texts.mapInPandas(C.frugal(_chunked), CHUNK))
+        with C.small_batches(spark):
+            chunks = C.written(texts.mapInPandas(C.frugal(_chunked), CHUNK))
         probes = chunks.select("chunk", "texts").mapInPandas(C.frugal(_probes(n_segments)), PROBE)
         answers = probes.groupBy("kind", "seg").cogroup(parts.select("kind", "seg", "bits", "filter").groupBy("kind", "seg")).applyInPandas(_answered, PROBE)
         step = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_scored_chunk(head, total, kinds), SCORED + ", chunk long")
         step = step.withColumn("row", F.monotonically_increasing_id()).drop("chunk")
-    step = C.written(step.withColumn("held_out", is_held))
+    with C.small_batches(spark):
+        step = C.written(step.withColumn("held_out", is_held))
     tail = step.select("row", F.explode("tail").alias("w")).join(words.where(~is_head), "w").groupBy("row")
     tail = tail.agg(F.count("*").alias("tail_known"), F.sum(F.log10(F.col("c") + F.lit(1.0))).alias("tail_sum"))
     return step.join(tail, "row", "left").select(
