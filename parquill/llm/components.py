@@ -58,3 +58,11 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = now
     return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
+
+
+def least_in(roots: DataFrame, nodes: DataFrame, value: str, name: str) -> DataFrame:
+    """From roots as components() gives them: node and the least `value` of its component, for components of several nodes."""
+    every = roots.select("v", "root").unionByName(roots.select(F.col("root").alias("v"), "root").distinct())
+    every = every.join(nodes.select(F.col("node").alias("v"), value), "v")
+    least = written(every.groupBy("root").agg(F.min(value).alias(name)))
+    return every.join(least, "root").select(F.col("v").alias("node"), name, "root")

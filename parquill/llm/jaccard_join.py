@@ -1,6 +1,6 @@
 """N-gram Jaccard join by chosen paths.
 
-1. Equal shingle sets are one class. In each run a random order of all shingles samples a path for
+1. Equal shingle sets are one class, known by the number of one of its rows. In each run a random order of all shingles samples a path for
    every class: its first, second and third shingle in that order. Classes are split by the first;
    buckets over BUCKET are split by the next one, and so on.
 2. Buckets are searched by brute force over 128-byte sketches, with a margin, and give a spanning
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parquill.llm import _common as C
-from parquill.llm.components import components, local_roots
+from parquill.llm.components import components, least_in, local_roots
 
 SHINGLE = 5
 RECALL = 0.9998
@@ -31,8 +31,10 @@ BUCKET = 512
 SKETCH = 128
 #: Sketch similarity under the threshold at which a pair still is a candidate: five standard errors.
 MARGIN = 0.18
-#: Rows that a task takes at a time when buckets are bundled.
-BUNDLE = 20_000
+#: Rows that a task takes at a time: of sketches, and of whole sets.
+BUNDLE, SETS = 20_000, 2_000
+#: Stands for a null doc_id where rows meet by it and by their set.
+NO_ID = -(1 << 63)
 
 
 def meets(threshold: float, depth: int = DEPTH) -> float:
@@ -107,7 +109,7 @@ def _first_pass(runs: int, size: int):
                 x, offsets = shingle_sets(texts[a:b], cache, size)
                 sizes = np.diff(offsets)
                 some = np.flatnonzero(sizes)
-                out = pd.DataFrame({"doc_id": ids.iloc[a:b].astype("Int64").to_numpy(), "k1": 0, "k2": 0, "n": sizes})
+                out = pd.DataFrame({"doc_id": ids.iloc[a:b].astype("Int64").to_numpy(), "body": pdf["body"].iloc[a:b].to_numpy(), "k1": 0, "k2": 0, "n": sizes})
                 paths, sketches = np.zeros((b - a, 0), np.int64), [None] * (b - a)
                 if len(some):
                     starts, n = offsets[:-1][some], sizes[some]
@@ -129,12 +131,37 @@ def _alike(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return both / np.maximum(((one > 0) | (many > 0)).sum(axis=1), 1)
 
 
+def _bundled(decide, each: int):
+    """For rows sorted by leaf: `decide` on many leaves at a time, each leaf whole."""
+
+    def run(batches):
+        held, size = [], 0
+        for pdf in batches:
+            held.append(pdf)
+            size += len(pdf)
+            if size >= each:
+                rows = pd.concat(held, ignore_index=True)
+                cut = int((rows["leaf"] == rows["leaf"].iloc[-1]).to_numpy().argmax())
+                held, size = [rows.iloc[cut:]], len(rows) - cut
+                if cut:
+                    yield decide(rows.iloc[:cut])
+        if size:
+            yield decide(pd.concat(held, ignore_index=True))
+
+    return run
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of leaves with about equal numbers of rows; a leaf is in one range."""
+    return rows.repartitionByRange("leaf").sortWithinPartitions("leaf")
+
+
 def _forest(least: float):
-    """For bundled buckets (column leaf): links to the least class found alike, directly or over others."""
+    """For whole buckets (column leaf): links to the least class found alike, directly or over others."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["leaf", "rep"]).sort_values(["leaf", "rep"])
-        leaf, rep, n = pdf["leaf"].to_numpy(), pdf["rep"].to_numpy(), pdf["n"].to_numpy()
+        pdf = pdf.drop_duplicates(["leaf", "node"]).sort_values(["leaf", "node"])
+        leaf, node, n = pdf["leaf"].to_numpy(), pdf["node"].to_numpy(), pdf["n"].to_numpy()
         sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, SKETCH)
         cuts = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1], [True]]))
         a, b = [], []
@@ -147,8 +174,8 @@ def _forest(least: float):
                     sizes = np.minimum(n[x], n[left]) / np.maximum(n[x], n[left])
                     near = (sizes >= least) & (_alike(sketch[x], sketch[left]) >= least)
                     found = left[near].tolist()
-                    a += [rep[y] for y in found]
-                    b += [rep[root]] * len(found)
+                    a += [node[y] for y in found]
+                    b += [node[root]] * len(found)
                     queue += found
                     left = left[~near]
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)}).drop_duplicates()
@@ -183,11 +210,11 @@ def exact_links(x: list[np.ndarray], y: list[np.ndarray], num: int, den: int, sa
 
 
 def _decided(num: int, den: int):
-    """For bundled tiles (column leaf): exact links as counts, and the least class they reach."""
+    """For whole tiles (column leaf): exact links as counts, and the least class they reach."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, tile in pdf.drop_duplicates(["leaf", "rep"]).sort_values(["leaf", "rep"]).groupby("leaf", sort=False):
+        for _, tile in pdf.drop_duplicates(["leaf", "node"]).sort_values(["leaf", "node"]).groupby("leaf", sort=False):
             one = tile[tile["block"] == tile["i"]]
             same = bool((tile["i"] == tile["j"]).iloc[0])
             two = one if same else tile[tile["block"] == tile["j"]]
@@ -196,7 +223,7 @@ def _decided(num: int, den: int):
             x = [np.frombuffer(s, np.uint64) for s in one["shingles"]]
             y = x if same else [np.frombuffer(s, np.uint64) for s in two["shingles"]]
             i, j = exact_links(x, y, num, den, same)
-            ids, other = one["rep"].to_numpy(), two["rep"].to_numpy()
+            ids, other = one["node"].to_numpy(), two["node"].to_numpy()
             nodes, roots = local_roots(ids[i], other[j])
             count = np.zeros(len(nodes), np.int64)
             np.add.at(count, np.searchsorted(nodes, ids[i]), two["copies"].to_numpy()[j])
@@ -208,21 +235,23 @@ def _decided(num: int, den: int):
 
 
 def _sets(wanted, size: int):
+    """Shingle sets of the documents in the filter, and of those without an id; equal ones once a chunk."""
+
     def run(batches):
         cache = C.WordHashes()
         for pdf in batches:
             known = pdf["doc_id"].notna().to_numpy()
-            keep = known.copy()
-            keep[known] = C.in_filter(wanted.value, C.mix(pdf["doc_id"][known].to_numpy().astype(np.int64).view(np.uint64)))
-            pdf = pdf[keep]
-            texts = pdf["text"].tolist()
+            ids = np.full(len(pdf), NO_ID)
+            ids[known] = pdf["doc_id"][known].to_numpy().astype(np.int64)
+            keep = ~known | C.in_filter(wanted.value, C.mix(ids.view(np.uint64)))
+            texts, ids = pdf["text"][keep].tolist(), ids[keep]
             for a, b in C.chunks(texts):
                 x, offsets = shingle_sets(texts[a:b], cache, size)
                 some = np.flatnonzero(np.diff(offsets))
                 if len(some):
                     k1, k2 = class_keys(x, offsets[:-1][some])
                     sets = [x[offsets[i] : offsets[i + 1]].tobytes() for i in some.tolist()]
-                    yield pd.DataFrame({"rep": pdf["doc_id"].to_numpy().astype(np.int64)[a:b][some], "k1": k1.view(np.int64), "k2": k2.view(np.int64), "shingles": sets})
+                    yield pd.DataFrame({"id": ids[a:b][some], "k1": k1.view(np.int64), "k2": k2.view(np.int64), "shingles": sets}).drop_duplicates(["id", "k1", "k2"])
 
     return run
 
@@ -232,72 +261,75 @@ def _mixed_ids(batches):
         yield pd.DataFrame({"h": C.mix(pdf["v"].to_numpy().astype(np.int64).view(np.uint64)).view(np.int64)})
 
 
-def _bundles(rows: DataFrame, each: int = BUNDLE) -> DataFrame:
-    """Rows with a number of bundles that follows from their count; a leaf is in one bundle."""
-    spark = rows.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")) * 4, rows.count() // each)
-    return rows.withColumn("bundle", F.pmod(F.xxhash64("leaf"), F.lit(parts)))
-
-
 def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingle: int = SHINGLE, recall: float = RECALL) -> DataFrame:
     """Documents whose sets of five-word shingles have a Jaccard similarity of at least 4/5, as classes.
 
     Words: [^\\x20\\x09-\\x0D]+, unchanged; a text of one to four words is one shingle. Result, one row
-    per row: doc_id, class_id (least doc_id reachable over links), n_links (other rows linked
-    directly, copies included), n_shingles, kept (doc_id = class_id). Texts without words, null ones
-    included, link with nothing and are kept. A null doc_id takes the class of its text, but is kept.
-    Repeated rows count as rows. Extra columns are ignored; an empty table is fine. Pairs that
-    meet in no run are missed, with a probability of at most 1 - recall each.
+    per row: doc_id, body (hash of the text), group_id (the same number for all rows of a class, null
+    without words), class_id (least doc_id reachable over links), n_links (other rows linked directly,
+    copies included), n_shingles, kept (doc_id = class_id). Texts without words, null ones included,
+    link with nothing and are kept; a very long text is one whole set. A null doc_id takes the class of
+    its text, but is kept; a class of null ones has a null class_id. Repeated rows count as rows, and
+    rows of one doc_id with different texts are different documents. Extra columns are ignored; an
+    empty table is fine. Pairs that meet in no run are missed, with a probability of at most
+    1 - recall each.
     """
     spark = docs.sparkSession
     num, den = threshold
     least = num / den - MARGIN
     runs = runs_for(num / den, recall)
     docs = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    step = C.written(docs.mapInPandas(C.frugal(_first_pass(runs, shingle)), "doc_id long, k1 long, k2 long, n long, paths array<long>, sketch binary"))
-    classes = C.written(step.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
+    with C.small_batches(spark):
+        step = docs.select("doc_id", "text", F.xxhash64("text").alias("body")).mapInPandas(C.frugal(_first_pass(runs, shingle)), "doc_id long, body long, k1 long, k2 long, n long, paths array<long>, sketch binary")
+        step = C.written(step.withColumn("row", F.monotonically_increasing_id()))
+    classes = C.written(step.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.min("row").alias("node"), F.count("*").alias("copies")))
 
     # chosen paths: split by sampled shingles until buckets are small
-    own = step.where("n > 0 and doc_id is not null").join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).where("doc_id = rep")
+    own = step.where("n > 0").withColumnRenamed("row", "node").join(classes.select("node"), "node", "left_semi").select("node", "n", "paths", "sketch")
     each = F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")
-    rows = own.select("rep", "paths", each).select("rep", *[F.expr(f"get(paths, run * {DEPTH} + {d})").alias(f"p{d}") for d in range(DEPTH)])
+    rows = own.select("node", "paths", each).select("node", *[F.expr(f"get(paths, run * {DEPTH} + {d})").alias(f"p{d}") for d in range(DEPTH)])
     leaves = None
     for d in range(DEPTH):
         size = rows.groupBy(f"p{d}").agg(F.count("*").alias("size")).where("size > 1")
-        met = C.written(rows.join(size, f"p{d}").select("rep", *[f"p{e}" for e in range(d, DEPTH)], "size"))
+        met = C.written(rows.join(size, f"p{d}").select("node", *[f"p{e}" for e in range(d, DEPTH)], "size"))
         last = d == DEPTH - 1
-        some = (met if last else met.where(F.col("size") <= BUCKET)).select("rep", F.col(f"p{d}").alias("leaf"), "size")
+        some = (met if last else met.where(F.col("size") <= BUCKET)).select("node", F.col(f"p{d}").alias("leaf"), "size")
         leaves = some if leaves is None else leaves.unionByName(some)
         rows = met.where(F.col("size") > BUCKET).drop(f"p{d}", "size")
     blocks = F.ceil(F.col("size") / F.lit(float(BUCKET))).cast("int")
     leaves = leaves.withColumn("blocks", F.when(F.col("size") > BUCKET, blocks).otherwise(F.lit(1)))
-    leaves = leaves.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    leaves = leaves.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     leaves = leaves.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     leaf = F.when(F.col("blocks") == 1, F.col("leaf")).otherwise(F.xxhash64("leaf", F.least("block", "other"), F.greatest("block", "other")))
-    leaves = leaves.select("rep", leaf.alias("leaf")).join(own.select("rep", "n", "sketch"), "rep")
-    leaves = _bundles(C.written(leaves.select("rep", "leaf", "n", "sketch")))
-    forest = C.written(leaves.groupBy("bundle").applyInPandas(_forest(least), "a long, b long"))
+    leaves = C.written(leaves.select("node", leaf.alias("leaf")).join(own.drop("paths"), "node"))
+    forest = C.written(_dealt(leaves).mapInPandas(C.frugal(_bundled(_forest(least), BUNDLE)), "a long, b long"))
+    C.discard(leaves)
     near = C.written(components(forest))
 
     # every component once more, with whole sets
-    members = near.select(F.col("v").alias("rep"), F.col("root").alias("leaf")).unionByName(near.select(F.col("root").alias("rep"), F.col("root").alias("leaf")).distinct())
+    members = near.select(F.col("v").alias("node"), F.col("root").alias("leaf")).unionByName(near.select(F.col("root").alias("node"), F.col("root").alias("leaf")).distinct())
     sizes = members.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(float(BUCKET))).cast("int").alias("blocks"))
-    members = C.written(members.join(sizes, "leaf").join(classes.where("rep is not null"), "rep").select("rep", "leaf", "blocks", "k1", "k2", "copies"))
-    wanted = spark.sparkContext.broadcast(C.bit_filter(members.select(F.col("rep").alias("v")).mapInPandas(_mixed_ids, "h long"), "h", members.count()))
-    sets = docs.mapInPandas(C.frugal(_sets(wanted, shingle)), "rep long, k1 long, k2 long, shingles binary")
-    tiles = members.join(sets, ["rep", "k1", "k2"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    leaf = F.when(F.col("blocks") == 1, F.col("leaf")).otherwise(F.xxhash64("leaf", "i", "j"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")) * 4, members.count() // 2000)
-    tiles = tiles.select("rep", leaf.alias("leaf"), "copies", "blocks", "block", "i", "j", "shingles").withColumn("bundle", F.pmod(F.xxhash64("leaf"), F.lit(parts)))
-    found = C.written(tiles.groupBy("bundle").applyInPandas(_decided(num, den), "v long, root long, n_links long, whole boolean"))
+    members = members.join(C.written(sizes), "leaf").join(classes.withColumn("id", F.coalesce("rep", F.lit(NO_ID))), "node")
+    members = C.written(members.select("node", "leaf", "blocks", "id", "k1", "k2", "copies"))
+    wanted = spark.sparkContext.broadcast(C.bit_filter(members.select(F.col("id").alias("v")).mapInPandas(_mixed_ids, "h long"), "h", members.count()))
+    with C.small_batches(spark):
+        sets = docs.mapInPandas(C.frugal(_sets(wanted, shingle)), "id long, k1 long, k2 long, shingles binary")
+        # repeated rows bring one set several times
+        sets = members.join(sets, ["id", "k1", "k2"]).groupBy("id", "k1", "k2", "node", "leaf", "blocks", "copies").agg(F.first("shingles").alias("shingles"))
+        tiles = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        tiles = tiles.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+        leaf = F.when(F.col("blocks") == 1, F.col("leaf")).otherwise(F.xxhash64("leaf", "i", "j"))
+        tiles = C.written(tiles.select("node", leaf.alias("leaf"), "copies", "blocks", "block", "i", "j", "shingles"))
+        found = C.written(_dealt(tiles).mapInPandas(C.frugal(_bundled(_decided(num, den), SETS)), "v long, root long, n_links long, whole boolean"))
+    C.discard(tiles)
     large = components(found.where("not whole").select(F.col("v").alias("a"), F.col("root").alias("b")))
-    roots = found.where("whole and v <> root").select("v", "root").unionByName(large)
-    counted = found.groupBy("v").agg(F.sum("n_links").alias("n_links"))
-    done = classes.join(counted, F.col("rep") == F.col("v"), "left").drop("v").join(roots, F.col("rep") == F.col("v"), "left")
-    done = done.select("k1", "k2", "n", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = step.select("doc_id", "k1", "k2", "n").join(done, ["k1", "k2", "n"], "left")
+    roots = C.written(found.where("whole and v <> root").select("v", "root").unionByName(large))
+    counted = found.groupBy("v").agg(F.sum("n_links").alias("n_links")).withColumnRenamed("v", "node")
+    done = classes.join(counted, "node", "left").join(least_in(roots, classes, "rep", "least"), "node", "left")
+    group, class_id = F.coalesce("root", "node").alias("group_id"), F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("least")).alias("class_id")
+    done = done.select("k1", "k2", "n", group, class_id, (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    out = step.select("doc_id", "body", "k1", "k2", "n").join(done, ["k1", "k2", "n"], "left")
     class_id = F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
     kept = F.coalesce(F.col("doc_id") == class_id, F.lit(True))
-    return out.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n").alias("n_shingles"), kept.alias("kept"))
+    return out.select("doc_id", "body", "group_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("n").alias("n_shingles"), kept.alias("kept"))

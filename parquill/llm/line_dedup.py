@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parquill.llm._common import named, written
+from parquill.llm._common import discard, named, written
 
 LEADING = 3
 MIN_DOCS = 5
@@ -45,26 +45,29 @@ def _tree(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "copy", F.xxhash64("line").alias("h"), F.xxhash64("mask").alias("t0"), leaf.alias("leaf"), last.alias("last"), "mask")
 
 
-def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
+def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ...] = (), broadcast_leaves: int = BROADCAST_LEAVES) -> DataFrame:
     """Texts without the lines whose template recurs across documents.
 
     Lines end at \\n. Result: doc_id, text (kept lines, joined again), n_lines, n_dropped. Blank lines
     are kept; a line of one or two tokens is a leaf of its own. A template is dropped if at least
     `min_docs` different bodies hold it, and a fifth of the different texts that do are outside the
-    largest family of one body. Texts without a body are one family. A null text stays null and has no lines; an empty one has one. Rows are
-    judged by doc_id (repeated ones alike, null ones as one document). Extra columns are ignored but
-    for those named in `keep`, which come along; an empty table is fine.
+    largest family of one body. Texts without a body are one family. Of tokens with equal counts the
+    last in order prevails. A null text stays null and has no lines; an empty one has one; a very long
+    one is cut into all of its lines. A doc_id counts once, however many rows it has, and null ones
+    together as one; a line is judged by its own template on each row, whatever the doc_id. Extra
+    columns are ignored but for those named in `keep`, which come along; an empty table is fine.
     """
     docs = named(docs, "doc_id", "text", *keep)
-    tree = _tree(docs)
+    tree = written(_tree(docs))
     rows = written(tree.drop("mask").distinct()).where("leaf <> 0")
 
     # templates of leaves that hold different lines
     leaves = rows.groupBy("leaf").agg(F.count("*").alias("c"), F.min("t0").alias("a"), F.max("t0").alias("b")).where((F.col("c") >= min_docs) & (F.col("a") != F.col("b"))).select("leaf")
     leaves = written(leaves)
-    small = leaves.count() <= BROADCAST_LEAVES
+    small = leaves.count() <= broadcast_leaves
     several = tree.select("leaf", "t0", "mask").join(F.broadcast(leaves) if small else leaves, "leaf")
     several = written(several.groupBy("leaf", "t0").agg(F.min("mask").alias("mask"), F.count("*").alias("c")))
+    discard(tree)
     tokens = several.select("leaf", "c", F.posexplode(F.split("mask", " ")).alias("at", "token"))
     votes = tokens.groupBy("leaf", "at", "token").agg(F.sum("c").alias("c"))
     best = votes.groupBy("leaf", "at").agg(F.max(F.struct("c", "token")).alias("best"), F.sum("c").alias("all"))
@@ -79,12 +82,14 @@ def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ..
     held = rows.groupBy("t", "doc_id").agg(F.min("copy").alias("copy")).select("t", "copy").distinct()
     shared = written(held.groupBy("t").agg(F.count("*").alias("c")).where(F.col("c") >= min_docs).select("t"))
     held = written(held.join(shared, "t"))
-    lasts = rows.where("last is not null").join(shared, "t", "left_semi").select("last").distinct()
+    # sides with one row for each key are written, so that Spark can split a frequent key of the other side
+    lasts = written(rows.where("last is not null").join(shared, "t", "left_semi").select("last").distinct())
     own = rows.join(shared, "t", "left_anti").join(lasts, "last", "left_anti").select("copy", "h").distinct()
     bodies = own.groupBy("copy").agg(F.expr("bit_xor(xxhash64(h))").alias("body"))
     families = held.join(bodies, "copy", "left").groupBy("t", F.coalesce("body", F.lit(0)).alias("body")).agg(F.count("*").alias("c"))
     recurring = families.groupBy("t").agg(F.sum("c").alias("texts"), F.max("c").alias("top"), F.count("*").alias("bodies"))
     recurring = recurring.where((F.col("bodies") >= min_docs) & (F.col("texts") - F.col("top") >= OUTSIDE * F.col("texts"))).select("t")
+    recurring = written(recurring)
     dropped = rows.join(recurring, "t").groupBy(F.col("doc_id").alias("d_id")).agg(F.collect_set("h").alias("drop"))
 
     out = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("d_id")), "left")

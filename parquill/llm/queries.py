@@ -17,7 +17,7 @@ from parquill.llm.line_dedup import line_dedup
 from parquill.llm.lm_scoring import lm_scoring
 from parquill.llm.sharding import sharding
 from parquill.llm.substring_dedup import substring_dedup
-from parquill.llm.url_filter import RULES, url_filter
+from parquill.llm.url_filter import url_filter
 
 #: The rules of the url query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -50,7 +50,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(_table(spark, sf_dir, "documents"))
+    return jaccard_join(_table(spark, sf_dir, "documents")).drop("body", "group_id")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +61,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
 
+def _url_rules(spark: SparkSession) -> DataFrame:
+    return spark.sql("select * from values " + ", ".join(str(r) for r in URL_RULES) + " as rules(host, path, verdict)")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter(_table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, RULES))
+    return url_filter(_table(spark, sf_dir, "pages"), _url_rules(spark))
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

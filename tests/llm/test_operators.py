@@ -195,6 +195,14 @@ def test_jaccard(docs, rows, none):
     assert jaccard_join(none).count() == 0
 
 
+def test_jaccard_rows(spark):
+    base = [f"w{k}" for k in range(40)]
+    near = lambda w: " ".join([w, *base[1:]])
+    rows = [(5, "own text of five"), (5, near("a")), (1, near("b")), (None, near("c")), (None, "text without any id"), (None, "text without any id"), (1, "own text of five"), (9, near("a")), (9, near("a")), (9, "other words of nine here")]
+    found = [tuple(r) for r in jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "class_id", "n_links").collect()]
+    same(found, brute.jaccard(rows))
+
+
 def test_jaccard_tiles(spark, monkeypatch):
     from parquill.llm import jaccard_join as J
 
@@ -295,8 +303,13 @@ URLS = [None, "", "http://", "nothing", "https://a.net", "https://a.net/", "http
 
 
 def test_urls(spark):
-    pages = spark.createDataFrame([(i, u, "h", "clash", 3) for i, u in enumerate(URLS)] + [(4, URLS[4], "", "", 0)] * 2 + [(None, URLS[6], "", "", 0)], PAGES)
+    pages = spark.createDataFrame([(i, u, "h", "clash", 3) for i, u in enumerate([*URLS, "http://a.net/" + "x/" * 100_000])] + [(4, URLS[4], "", "", 0)] * 2 + [(None, URLS[6], "", "", 0)], PAGES)
     rules = Q.URL_RULES + [("example.net", "/en/1", "block"), ("d.e.f.org", "/", "block"), ("é.net", "/é", "block")]
+    # nested rules that span many urls, and urls with equal keys on both sides of a border
+    rules += [("net", "/" + "x/" * k, ("allow", "block")[k % 2]) for k in range(12)]
+    pages = pages.unionByName(spark.createDataFrame([(100 + k, "http://q.net/" + "x/" * (k % 15) + "end", "", "", 0) for k in range(400)], PAGES))
+    plan = U.url_filter(pages, Q._url_rules(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Scan ExistingRDD" not in plan
     for some in (Q.URL_RULES, rules, []):
         found = U.url_filter(pages, spark.createDataFrame(some, U.RULES)).collect()
         expected = [(r["page_id"], *brute.judged(r["url"], some)) for r in pages.collect()]
@@ -326,6 +339,15 @@ def test_embeddings(spark):
     assert E.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embeddings_rows(spark):
+    x, y, z, tiny = [1.0, 0.0], [0.0, 1.0], [0.99, 0.01], [3e-200, 4e-200]
+    rows = [(1, x, 0), (1, y, 0), (2, x, 0), (2, z, 0), (None, x, 0), (7, tiny, 1), (8, tiny, 1), (9, [3e200, 4e200], 1), (3, x, 0), (3, x, 0)]
+    df = spark.createDataFrame([(*r, "clash", 1, 2) for r in rows], "vec_id long, embedding array<double>, label int, node string, e int, least int")
+    found = [tuple(r) for r in E.embedding_dedup(df).collect()]
+    # x: rows of 1, 2, 3, 3 and z
+    same(found, [(1, 4, 1, True), (1, 0, 1, True), (2, 4, 1, False), (2, 4, 1, False), (None, 0, None, True), (7, 2, 7, True), (8, 2, 7, False), (9, 2, 7, False), (3, 4, 1, False), (3, 4, 1, False)])
+
+
 def test_error_bounds():
     rng = np.random.default_rng(0)
     x, y = rng.normal(size=(50, 64)), rng.normal(size=(60, 64))
@@ -340,8 +362,10 @@ def test_decontamination(docs, rows, none, spark):
     words = brute.ITEM.findall(rows[11][1])
     items = [(1, " ".join(words[100:125])), (2, "ONE"), (3, "alpha betas"), (4, " ".join(words[110:118])), (5, None), (6, ""), (7, " ".join(words[3000:3010]).upper()), (None, " ".join(words[200:212])), (1, "ÉTÉ x1"), (8, "nowhere to be found")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = [tuple(r) for r in decontamination(docs, bench).collect()]
-    same(found, brute.contaminated(short(rows), items))
+    bench = bench.selectExpr("item_id", "text", "1 as body", "'clash' as words", "2 as doc_id")
+    for most in (1000, 0):  # the second way shuffles hashes only
+        found = [tuple(r) for r in decontamination(docs, bench, broadcast_windows=most).drop("body").collect()]
+        same(found, brute.contaminated(short(rows), items))
     assert decontamination(none, bench).count() == 0
     assert not any(r["contaminated"] for r in decontamination(docs, bench.limit(0)).collect())
 
