@@ -21,7 +21,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a language, `und`; none if no labelled row teaches languages."""
+    """Rejects texts without a language, `und`: null texts and those without a letter.
+
+    Nothing is rejected if no labelled row teaches languages. Repeated rows and null ids stay, each
+    row is judged by its own whole text; an empty table stays empty.
+    """
     docs = docs.select(*COLUMNS)
     network = fit(training_rows(docs))
     if network is None:
@@ -30,29 +34,53 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines of recurring templates; a document that has no other text goes."""
+    """Without lines of recurring templates; a document that has no other text goes.
+
+    Rows without such lines stay as they are, null and empty texts too; repeated rows lose the same
+    lines. n_chars is counted anew (null for a null text).
+    """
     out = line_dedup(docs, keep=("lang", "source"))
     out = out.where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    return docs.select(*COLUMNS).join(gone.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_anti")
+#: What tells rows apart: doc_id and text, nulls included.
+_ROW = {"id_": "coalesce(doc_id, 0L)", "none_": "doc_id is null", "body_": "xxhash64(text)"}
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the least doc_id."""
-    return _without(docs, jaccard_join(docs).where("not kept")).dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """One document of each class of near copies: the one with the least doc_id (null ids last).
+
+    Rows that repeat a doc_id and text are copies like others; rows of one doc_id with different texts
+    are different documents, and of those in one class the one with the least hash stays. Texts
+    without words, null ones included, are no copies of anything: all stay. An empty table stays empty.
+    """
+    docs, keys = docs.select(*COLUMNS).withColumns({k: F.expr(v) for k, v in _ROW.items()}), list(_ROW)
+    found = jaccard_join(docs).where("group_id is not null").select("group_id", (F.col("doc_id").isNull()).alias("none_"), F.coalesce("doc_id", F.lit(0)).alias("id_"), F.col("body").alias("body_"))
+    chosen = found.groupBy("group_id").agg(F.min(F.struct("none_", "id_", "body_")).alias("one")).select("one.*").distinct()
+    empty = F.col("text").isNull() | F.col("text").rlike(r"^[\x20\x09-\x0D]*$")
+    kept = docs.where(~empty).join(chosen, keys, "left_semi").dropDuplicates(keys)
+    return kept.unionByName(docs.where(empty)).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that hold a window of a benchmark item."""
+    """Without documents that hold a window of a benchmark item.
+
+    Each row is judged by its own whole text, so repeated rows go or stay together, and rows of one
+    doc_id with different texts apart; null texts and null ids stay unless the text has a hit. Empty
+    tables, of documents or of the benchmark, are fine.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontamination(docs, benchmark).where("contaminated")).select(*COLUMNS)
+    docs, keys = docs.select(*COLUMNS).withColumns({k: F.expr(v) for k, v in _ROW.items()}), list(_ROW)
+    gone = decontamination(docs, benchmark).where("contaminated").select(F.coalesce("doc_id", F.lit(0)).alias("id_"), F.col("doc_id").isNull().alias("none_"), F.col("body").alias("body_"))
+    return docs.join(gone.distinct(), keys, "left_anti").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with digests of ids and decoded text."""
+    """Token ids of every whole text, with digests of ids and decoded text; one row per row.
+
+    A null or empty text has no tokens. Null ids and repeated rows stay; an empty table stays empty.
+    """
     return bpe(docs, tokenizer_path()).drop("decoded")
 
 
