@@ -18,6 +18,8 @@ from parquill.llm._common import named, written
 
 WINDOW = 10
 GRAM = 5
+#: Windows that one hash stands for at most.
+RUN = 8
 #: Most benchmark windows that are broadcast. Beyond that only hashes are shuffled, and the words of hits fetched.
 BROADCAST_WINDOWS = 500_000
 
@@ -43,10 +45,9 @@ def _grams(df: DataFrame, n: int) -> DataFrame:
 
 
 def _runs(mins: str) -> str:
-    """(hash, first window, windows) of successive windows with one hash."""
-    new = f"filter(sequence(0, size({mins}) - 1), i -> i = 0 or get({mins}, i) <> get({mins}, i - 1))"
-    run = f"struct(get({mins}, at) as h, at, coalesce(get(starts, j + 1), size({mins})) - at as many)"
-    return f"if(size({mins}) = 0, null, transform(array({new}), starts -> transform(starts, (at, j) -> {run}))[0])"
+    """(hash, first window) of successive windows with one hash, RUN of them at most."""
+    new = f"filter(sequence(0, size({mins}) - 1), i -> i % {RUN} = 0 or get({mins}, i) <> get({mins}, i - 1))"
+    return f"if(size({mins}) = 0, null, transform({new}, i -> struct(get({mins}, i) as h, i as at)))"
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
@@ -60,25 +61,25 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WIND
     """
     own = written(named(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("body"), words(F.col("text")).alias("words")))
     items = named(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("words"))
-    items = items.where("size(words) > 0").withColumn("n", F.least(F.size("words"), F.lit(window)))
+    items = written(items.where("size(words) > 0").withColumn("n", F.least(F.size("words"), F.lit(window))))
     sizes = [r[0] for r in items.select("n").distinct().orderBy("n").collect()]  # at most `window` numbers
     spans = None
     for n in sizes:
-        known = _grams(items.where(F.col("n") == n), n).select("item", "words", F.posexplode("mins").alias("at", "h"))
+        known = _grams(items.where(F.col("n") == n), n).select("item", "words", F.posexplode_outer("mins").alias("at", "h"))
         known = known.select("item", "h", F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("span")).distinct()
         known = written(known)
         small = known.count() <= broadcast_windows
         hint = F.broadcast if small else (lambda x: x)
         hashes, some = known.select("h").distinct(), ["words"] * small
-        # the outer form: for the inner one Spark infers a filter on the runs and computes them once more below
+        # the outer forms: for inner ones Spark infers filters on the arrays and computes them once more below
         found = _grams(own.where(F.size("words") >= n), n).withColumn("runs", F.expr(_runs("mins")))
         found = found.select("doc_id", "body", *some, F.explode_outer("runs").alias("run")).select("doc_id", "body", *some, "run.*")
         found = found.join(hint(hashes), "h", "left_semi")
         if not small:
-            met = found.groupBy("doc_id", "body").agg(F.collect_set(F.struct("at", "many")).alias("runs")).withColumnsRenamed({"doc_id": "m_id", "body": "m_body"})
+            met = found.groupBy("doc_id", "body").agg(F.collect_set("at").alias("runs")).withColumnsRenamed({"doc_id": "m_id", "body": "m_body"})
             texts = own.join(met, F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("body").eqNullSafe(F.col("m_body")))
-            found = texts.dropDuplicates(["doc_id", "body"]).select("doc_id", "body", "words", F.explode("runs").alias("run")).select("doc_id", "body", "words", "run.*")
-        found = found.withColumn("at", F.explode(F.expr("sequence(at, at + many - 1)")))
+            found = texts.dropDuplicates(["doc_id", "body"]).select("doc_id", "body", "words", F.explode("runs").alias("at"))
+        found = found.withColumn("at", F.explode(F.expr(f"sequence(at, least(at + {RUN - 1}, size(words) - {n}))")))
         found = found.select("doc_id", "body", "at", F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("span"))
         found = found.join(hint(known.select("item", "span").distinct()), "span").select("doc_id", "body", "at", (F.col("at") + n).alias("to"), "item")
         spans = found if spans is None else spans.unionByName(found)

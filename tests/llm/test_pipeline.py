@@ -1,5 +1,7 @@
+import uuid
 
 import corpus_pipeline as P
+from parquill.llm import _common as C
 from tests.conftest import SF
 from tests.llm import brute
 
@@ -44,3 +46,21 @@ def test_language_keeps_short_and_unlabelled(spark):
     assert found == {r["doc_id"] for r in both.collect() if any(c.isalpha() for c in r["text"])}
     unlabelled = docs.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
     assert P.identify(spark, unlabelled, SF).count() == docs.count()
+
+
+def test_rows_and_not_ids(spark):
+    """Repeated ids with different texts, null ids and texts, copies and clashing names, in every stage."""
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)]
+    one, two, near, leak = " ".join(words), " ".join(words[::-1]), " ".join(["edit", *words[1:]]), " ".join(["zz", *words[5:50:2]])
+    rows = [(1, one), (5, one), (5, two), (5, two), (7, near), (None, one), (None, leak), (8, leak), (8, "clean words of eight"), (9, None), (None, None), (9, ""), (9, ""), (10, "1 2 3")]
+    docs = spark.createDataFrame([(i, t, "xx", "s", 0, "clash", 1, 2) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, body string, group_id int, id_ int")
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    assert pairs(P.identify(spark, docs, SF)) == sorted([r for r in rows if r[1] and any(c.isalpha() for c in r[1])], key=str)
+    assert pairs(P.drop_lines(spark, docs, SF)) == sorted(rows, key=str)
+    assert pairs(P.one_of_each(spark, docs, SF)) == sorted([(1, one), (5, two), (8, leak), (8, "clean words of eight"), (9, None), (None, None), (9, ""), (9, ""), (10, "1 2 3")], key=str)
+    bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    folder = f"{C.shared_dir(spark)}/bench-{uuid.uuid4().hex}"
+    bench.write.parquet(f"{folder}/benchmark.parquet")
+    assert pairs(P.decontaminate(spark, docs, folder)) == sorted([r for r in rows if r[1] != leak], key=str)
+    encoded = [(r["doc_id"], r["n_tokens"]) for r in P.encode(spark, docs, SF).collect()]
+    assert sorted((i for i, _ in encoded), key=str) == sorted((i for i, _ in rows), key=str) and encoded.count((9, 0)) == 3
