@@ -17,7 +17,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser("parquill", description="Exports query results as typed Parquet.")
     top.add_argument("--version", action="version", version=VERSION)
     commands = top.add_subparsers(dest="command", required=True, metavar="COMMAND")
-    e = commands.add_parser("export", help="write the result of a query or a table", add_help=False, usage="parquill export (-q SQL | -t TABLE) -o FILE [options]")
+    e = commands.add_parser("export", help="write the result of a query or a table", add_help=False, usage="parquill export (-q SQL | -t TABLE) -o FILE [options]", formatter_class=lambda prog: argparse.HelpFormatter(prog, max_help_position=38, width=120))
     e.add_argument("-h", action="help", help="this help")
     e.add_argument("--help", action="help", help=argparse.SUPPRESS)
     what = e.add_mutually_exclusive_group(required=True)
@@ -29,6 +29,9 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--compression-level", type=int, metavar="N", help="for zstd, gzip, brotli (3)")
     e.add_argument("--sink", default="native", choices=["native", "annotated"], metavar="SINK", help="native or annotated")
     e.add_argument("--quiet", action="store_true", help="print errors only")
+    e.add_argument("--partition-column", metavar="NAME", help="number or date column by which a server is read in parallel")
+    e.add_argument("--partition-bounds", metavar="LOW,HIGH", help="its range; rows outside are read too")
+    e.add_argument("--partitions", type=int, default=8, metavar="N", help="reads at a time (8)")
     c = e.add_argument_group("connection")
     c.add_argument("-c", "--connection", metavar="URL", help="connection string; else POSTGRES_URL, DATABASE_URL")
     c.add_argument("-H", "--host")
@@ -64,6 +67,10 @@ def check(args: argparse.Namespace):
     wrong = [n for n in ("host", "user", "dbname", "port", "password", "sslmode") if args.connection and getattr(args, n) is not None]
     if wrong:
         raise SettingsError(f"--connection cannot be used with --{wrong[0]}")
+    if (args.partition_column is None) != (args.partition_bounds is None):
+        raise SettingsError("--partition-column and --partition-bounds go together")
+    if args.partition_bounds and len(args.partition_bounds.split(",")) != 2:
+        raise SettingsError("--partition-bounds are two values: LOW,HIGH")
     if args.input:
         return settings, None
     names = ("host", "dbname", "port", "user", "password", "sslmode", "ssl_root_cert", "ssl_client_cert", "ssl_client_key")
@@ -92,7 +99,11 @@ def run(args: argparse.Namespace) -> None:
             spark.read.parquet(path).createOrReplaceTempView(name)
         export(spark, args.output_file, query=args.query, table=args.table, **writing)
         return
-    df, types = postgres.read_query(spark, at, args.query) if args.query else postgres.read_table(spark, at, args.table)
+    partition = None
+    if args.partition_column:
+        low, high = args.partition_bounds.split(",")
+        partition = {"partitionColumn": args.partition_column, "lowerBound": low, "upperBound": high, "numPartitions": str(args.partitions)}
+    df, types = postgres.read_query(spark, at, args.query, partition=partition) if args.query else postgres.read_table(spark, at, args.table, partition=partition)
     export(spark, args.output_file, df=df, types=types, **writing)
 
 
@@ -103,7 +114,15 @@ def main(argv: list[str] | None = None) -> int:
     except SettingsError as e:
         print(f"error: {e}", file=sys.stderr)
         return WRONG
-    except ParquillError as e:
+    except (ParquillError, OSError) as e:
         print(f"error: {e}", file=sys.stderr)
         return FAILED
+    except Exception as e:
+        from py4j.protocol import Py4JError
+        from pyspark.errors import PySparkException
+
+        if not isinstance(e, PySparkException | Py4JError):
+            raise
+        print(f"error: {str(e).strip().splitlines()[0]}", file=sys.stderr)
+        return FAILED
     return 0

@@ -15,9 +15,12 @@ def as_text(c: Column, src: T.DataType) -> Column:
     return c if isinstance(src, T.StringType) else c.cast("string")
 
 
-def truncated(text: Column, scale: int) -> Column:
-    """Decimal text cut after `scale` digits, so that no cast can round it. Exponents are written out first."""
-    plain = F.when(text.rlike("[eE]"), text.try_cast("decimal(38,18)").cast("string")).otherwise(text)
+def truncated(text: Column, scale: int, precision: int = 38) -> Column:
+    """Decimal text cut after `scale` digits, so that no cast can round it.
+
+    Exponents are written out first, with as many digits as the target's whole part leaves room for.
+    """
+    plain = F.when(text.rlike("[eE]"), text.try_cast(f"decimal(38,{38 - (precision - scale)})").cast("string")).otherwise(text)
     cut = F.regexp_replace(plain, r"^(\s*[-+]?[0-9]*)\.([0-9]{%d})[0-9]+\s*$" % scale, "$1.$2")
     return F.regexp_replace(cut, r"\.$", "")
 
@@ -26,7 +29,7 @@ def to_decimal(c: Column, src: T.DataType, precision: int, scale: int, rounding:
     """NULL for NaN, infinities and what does not fit."""
     text = as_text(c, src)
     if rounding is Rounding.TRUNCATE:
-        text = truncated(text, scale)
+        text = truncated(text, scale, precision)
     return text.try_cast(f"decimal({precision},{scale})")
 
 
@@ -36,12 +39,16 @@ def to_float(c: Column, src: T.DataType, kind: str) -> Column:
 
 
 def money(c: Column, src: T.DataType) -> Column:
-    """Amounts as numbers or as locale text: $1,234.56, -$0.01, ($5.00)."""
+    """Amounts as numbers or as text with a decimal point: $1,234.56, -$0.01, ($5.00).
+
+    NULL for any other text, as 1.234,56 or 1 234,56: what a comma or space means there is not known.
+    """
     if not isinstance(src, T.StringType):
         return c.cast("string").try_cast("decimal(18,2)")
     digits = F.regexp_replace(c, "[^0-9.]", "")
     sign = F.when(c.rlike(r"^\s*(-|\()|-\s*$"), F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, digits).try_cast("decimal(18,2)")
+    understood = c.rlike(r"^\s*[-(]?\s*[^0-9.,\s()-]{0,4}\s*-?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]{1,2})?\s*[^0-9.,\s()-]{0,4}[-)]?\s*$")
+    return F.when(understood, F.concat(sign, digits).try_cast("decimal(18,2)"))
 
 
 def char_code(c: Column) -> Column:
@@ -126,7 +133,7 @@ def interval_parts(c: Column, src: T.DataType) -> tuple[Column, Column, Column]:
 
 def _truncated_div(a: Column, by: int) -> Column:
     """Whole division towards zero."""
-    return F.when(a >= 0, F.floor(a / F.lit(by).cast("decimal(20,0)"))).otherwise(F.ceil(a / F.lit(by).cast("decimal(20,0)"))).cast("bigint")
+    return F.call_function("div", a.cast("bigint"), F.lit(by).cast("bigint"))
 
 
 def interval_triple(months: Column, days: Column, micros: Column) -> tuple[Column, Column, Column]:

@@ -43,7 +43,9 @@ def _nested(a: pa.Array, hints: dict[str, str], at: str) -> pa.Array:
         fields = [pa.field(t.field(i).name, p.type) for i, p in enumerate(parts)]
         return pa.StructArray.from_arrays(parts, fields=fields, mask=a.is_null())
     if pa.types.is_list(t):
-        return pa.ListArray.from_arrays(a.offsets, _nested(a.values, hints, f"{at}/element"), mask=a.is_null() if a.null_count and a.offset == 0 else None)
+        if a.offset:  # a mask goes with offsets that begin at the first one only
+            a = a.take(pa.array(range(len(a)), pa.int64()))
+        return pa.ListArray.from_arrays(a.offsets, _nested(a.values, hints, f"{at}/element"), mask=a.is_null() if a.null_count else None)
     return a
 
 

@@ -208,15 +208,18 @@ def _matrix(spark: SparkSession, d: str, mode: str) -> DataFrame:
 _MATRIX = "(SELECT vec_id, flatten(list_transform(range(0, 8), lambda i: embedding[i*8+1:i*8+8])) AS f FROM embeddings) x"
 
 
-@_query(f"SELECT vec_id, CAST(len(f) AS int) AS items, CAST(f[10] AS float) AS tenth, '8,8' AS dims FROM {_MATRIX}")
+_CELLS = f"SELECT vec_id, CAST(i - 1 AS int) AS place, CAST(f[i] AS float) AS value, '8,8' AS dims{{}} FROM (SELECT vec_id, f, unnest(generate_series(1, len(f))) AS i FROM {_MATRIX}) y"
+
+
+@_query(_CELLS.format(""))
 def array_dims(spark: SparkSession, d: str) -> DataFrame:
-    return _matrix(spark, d, "dims").selectExpr("vec_id", "size(m.data) as items", "m.data[9] as tenth", "array_join(cast(m.dims as array<string>), ',') as dims")
+    return _matrix(spark, d, "dims").selectExpr("vec_id", "posexplode(m.data) as (place, value)", "array_join(cast(m.dims as array<string>), ',') as dims")
 
 
-@_query(f"SELECT vec_id, CAST(len(f) AS int) AS items, '8,8' AS dims, '1,1' AS lower FROM {_MATRIX}")
+@_query(_CELLS.format(", '1,1' AS lower"))
 def array_dims_lb(spark: SparkSession, d: str) -> DataFrame:
     join = "array_join(cast(m.{} as array<string>), ',') as {}"
-    return _matrix(spark, d, "dims+lb").selectExpr("vec_id", "size(m.data) as items", join.format("dims", "dims"), join.format("lower_bound", "lower"))
+    return _matrix(spark, d, "dims+lb").selectExpr("vec_id", "posexplode(m.data) as (place, value)", join.format("dims", "dims"), join.format("lower_bound", "lower"))
 
 
 _mapped(
@@ -269,20 +272,29 @@ _mapped(
 # vectors
 
 _TEXT_VECTOR = "concat('[', array_join(transform(embedding, x -> cast(x as string)), ','), ']')"
-_mapped("vector_dense", "embeddings", {"vec_id": "vec_id", "v": _TEXT_VECTOR}, {"v": "vector(64)"}, "SELECT vec_id, CAST(len(embedding) AS int) AS items, CAST(embedding[1] AS float) AS first, CAST(embedding[64] AS float) AS last FROM embeddings", after=["vec_id", "size(v) as items", "v[0] as first", "v[63] as last"])
+_ITEMS = "(SELECT vec_id, CAST(i - 1 AS int) AS place, CAST(embedding[i] AS double) AS x FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings) y) z"
+_mapped("vector_dense", "embeddings", {"vec_id": "vec_id", "v": _TEXT_VECTOR}, {"v": "vector(64)"}, f"SELECT vec_id, place, CAST(x AS float) AS value FROM {_ITEMS}", after=["vec_id", "posexplode(v) as (place, value)"])
 _mapped("sparsevec_map", "embeddings", {"vec_id": "vec_id", "v": "transform(embedding, x -> if(abs(x) > 0.25, x, cast(0 as float)))"}, {"v": "sparsevec(64)"}, "SELECT vec_id, CAST(i AS int) AS key, CAST(embedding[i] AS float) AS value FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings) x WHERE abs(embedding[i]) > 0.25", after=["vec_id", "explode(v) as (key, value)"])
 
 
-@_query()
+#: Half precision by arithmetic: multiples of the place value of the tenth binary digit, ties to even.
+_HALF = f"SELECT vec_id, place, CAST(CASE WHEN x = 0 THEN 0 ELSE round_even(x / p, 0) * p END AS float) AS value FROM (SELECT *, pow(2, CASE WHEN x = 0 THEN 0 ELSE greatest(floor(log2(abs(x))), -14) - 10 END) AS p FROM {_ITEMS}) w"
+
+
+@_query(_HALF)
 def halfvec_float32(spark: SparkSession, d: str) -> DataFrame:
     rows = _table(spark, d, "embeddings").selectExpr("vec_id", f"{_TEXT_VECTOR} as v")
-    return project(rows, {"v": "halfvec(64)"}).selectExpr("vec_id", "size(v) as items", "v[0] as first")
+    return project(rows, {"v": "halfvec(64)"}).selectExpr("vec_id", "posexplode(v) as (place, value)")
 
 
-@_query()
+@_query(_HALF)
 def halfvec_float16(spark: SparkSession, d: str) -> DataFrame:
+    """The two bytes of every value, read as a sign, five bits of exponent and ten of fraction."""
     rows = _table(spark, d, "embeddings").selectExpr("vec_id", f"{_TEXT_VECTOR} as v")
-    return project(rows, {"v": "halfvec(64)"}, Settings(float16="float16")).selectExpr("vec_id", "size(v) as items", "hex(v[0]) as first")
+    found = project(rows, {"v": "halfvec(64)"}, Settings(float16="float16")).selectExpr("vec_id", "posexplode(v) as (place, b)")
+    bits = found.selectExpr("vec_id", "place", "cast(conv(concat(substr(hex(b), 3, 2), substr(hex(b), 1, 2)), 16, 10) as int) as n")
+    parts = bits.selectExpr("vec_id", "place", "if(n >= 32768, -1, 1) as s", "(n div 1024) % 32 as e", "n % 1024 as m")
+    return parts.selectExpr("vec_id", "place", "cast(s * if(e = 0, m * pow(2, -24), (1024 + m) * pow(2, e - 25)) as float) as value")
 
 
 # schemas and diagnostics

@@ -37,9 +37,12 @@ class Connection:
     ssl_client_key: str | None = field(default=None, repr=False)
 
     def options(self) -> dict[str, str]:
+        """Only `prefer` takes any certificate: the driver's own `require` does not look at it, so it is asked to verify."""
+        mode = "verify-full" if self.sslmode == "require" else self.sslmode
+        own_roots = "org.postgresql.ssl.DefaultJavaSSLFactory" if mode == "verify-full" and not self.ssl_root_cert else None
         found = {
             "url": f"jdbc:postgresql://{self.host}:{self.port}/{self.dbname}", "driver": "org.postgresql.Driver", "user": self.user, "password": self.password,
-            "sslmode": self.sslmode, "sslrootcert": self.ssl_root_cert, "sslcert": self.ssl_client_cert, "sslkey": self.ssl_client_key, "ApplicationName": APPLICATION,
+            "sslmode": mode, "sslfactory": own_roots, "sslrootcert": self.ssl_root_cert, "sslcert": self.ssl_client_cert, "sslkey": self.ssl_client_key, "ApplicationName": APPLICATION,
         }
         return {k: v for k, v in found.items() if v is not None}
 
@@ -155,7 +158,10 @@ def type_tree(oid: int, rows: Mapping[int, Mapping]) -> PgType:
 
 def pushed_query(query: str, types: Mapping[str, PgType]) -> str:
     """The user's query with columns as text where JDBC has no fitting type."""
-    picks = [f"q.{_ident(c)}" if isinstance(t, Simple) and t.name in JDBC_TYPES else f"q.{_ident(c)}::text AS {_ident(c)}" for c, t in types.items()]
+    plain = lambda t: isinstance(t, Simple) and t.name in JDBC_TYPES
+    # the text of money follows the server's locale, its number does not
+    form = lambda t: "numeric" if isinstance(t, Simple) and t.name == "money" else "text"
+    picks = [f"q.{_ident(c)}" if plain(t) else f"q.{_ident(c)}::{form(t)} AS {_ident(c)}" for c, t in types.items()]
     return f"SELECT {', '.join(picks)} FROM ({query}) q"
 
 

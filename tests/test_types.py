@@ -37,6 +37,8 @@ def test_numbers(convert):
     assert convert(["1.1"], "real") == [1.100000023841858]
     d = convert(["NaN", "Infinity", "-Infinity", "-0"], "double precision")
     assert math.isnan(d[0]) and d[1:3] == [math.inf, -math.inf] and math.copysign(1, d[3]) == -1
+    assert convert(["1.234,56 €", "kr 1 234,56", "12,34", "1,234.50 €", "£12"], "money") == [None, None, None, Decimal("1234.50"), Decimal("12.00")]
+    assert convert(["1e25", "-1.239E1", "12.999"], "numeric", numeric="decimal", decimal_precision=38, decimal_scale=2) == [Decimal("1e25"), Decimal("-12.39"), Decimal("12.99")]
     assert convert(["$1,234.56", "-$0.01", "($5.00)", None], "money") == [Decimal("1234.56"), Decimal("-0.01"), Decimal("-5.00"), None]
     assert convert(["x", "", "\\377", None], '"char"') == [120, 0, 255, None]
 
