@@ -20,7 +20,7 @@ from parquill.llm import _common as C
 
 HIDDEN = 12
 PIECE = 256
-#: Bounds of the training sample: documents a language, and languages (the most frequent ones).
+#: Default bounds of the training sample: documents a language, and languages (the most frequent ones).
 SAMPLE = 300
 LANGUAGES = 256
 STEPS, BATCH, SPAN = 220, 96, 48
@@ -173,11 +173,12 @@ def training_rows(docs: DataFrame, fold: int = 5) -> DataFrame:
     return C.named(docs, "doc_id", "text", "lang").where(F.expr(f"crc32(cast(doc_id as string)) % {fold} <> 0"))
 
 
-def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Network | None:
-    """A network from a bounded sample of labelled rows: `sample` documents of each language, picked by
-    a hash of the doc_id, 2000 characters of each from a place that the hash gives too."""
+def fit(docs: DataFrame, *, sample: int = SAMPLE, languages: int = LANGUAGES) -> Network | None:
+    """A network from a bounded sample of labelled rows: `sample` documents of each of the `languages`
+    most frequent languages (the first in order of equally frequent ones), picked by a hash of the
+    doc_id, 2000 characters of each from a place that the hash gives too."""
     docs = docs.where("lang is not null and text is not null and doc_id is not null and length(text) > 0")
-    counts = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return None
     rates = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, (2.0 * sample + 50) / r["count"]))) for r in counts], F.lit(0.0))
@@ -185,18 +186,17 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE) -> Network | None:
     at = F.floor(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.greatest(F.lit(1), F.length("text") - 2000)).cast("int")
     rows = docs.where(part < rates).select("lang", part.alias("part"), F.substr("text", at + F.lit(1), F.lit(2000)).alias("text")).collect()
     rows.sort(key=lambda r: (r["part"], r["lang"], r["text"]))
-    languages = sorted(r["lang"] for r in counts)
-    texts, y, seen = [], [], dict.fromkeys(languages, 0)
+    texts, y, seen = [], [], dict.fromkeys(sorted(r["lang"] for r in counts), 0)
     for r in rows:
         if seen[r["lang"]] < sample and has_letter(r["text"]):
             seen[r["lang"]] += 1
             texts.append(r["text"].encode("utf-8", "surrogatepass"))
             y.append(r["lang"])
-    languages = [x for x in languages if seen[x]]
-    if not languages:
+    learned = [x for x in seen if seen[x]]
+    if not learned:
         return None
-    network = Network(languages)
-    network.train(texts, np.array([languages.index(x) for x in y]))
+    network = Network(learned)
+    network.train(texts, np.array([learned.index(x) for x in y]))
     return network
 
 
@@ -224,17 +224,18 @@ def predictor(spark: SparkSession, network: Network | None):
     return run
 
 
-def language_id(docs: DataFrame, *, fold: int = 5, sample: int = SAMPLE, network: Network | None = None) -> DataFrame:
+def language_id(docs: DataFrame, *, fold: int = 5, sample: int = SAMPLE, languages: int = LANGUAGES, network: Network | None = None) -> DataFrame:
     """The language of every whole text, by a network that learns from documents not held out.
 
     Held out: crc32 of the doc_id as text is 0 modulo `fold`. Result: doc_id, held_out, lang_pred,
     score (mean probability of that language over all bytes). Texts that are null or have no letter
     are `und` with score 0, and so is everything if there is nothing to learn from. Only the text is
     an input of a prediction, so repeated rows agree; a null doc_id has a null held_out and is not
-    learned from. Extra columns are ignored; an empty table gives an empty result.
+    learned from. Every byte of a very long text counts; of equally probable languages the first in
+    order is given. Extra columns are ignored; an empty table gives an empty result.
     """
     held = F.expr(f"crc32(cast(doc_id as string)) % {fold} = 0")
     if network is None:
-        network = fit(training_rows(docs, fold), sample=sample)
+        network = fit(training_rows(docs, fold), sample=sample, languages=languages)
     out = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), predictor(docs.sparkSession, network)("text").alias("found"))
     return out.select("doc_id", held.alias("held_out"), "found.lang_pred", "found.score")

@@ -62,7 +62,9 @@ def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) ->
     Result: doc_id, size (UTF-8 bytes of the text plus 16; null: 16), text_crc32 (0 for null), law
     (`rows`), shard, slot (gapless from 0 in its shard), grown_shard (null under this law). Null
     texts and single texts have no links; empty texts are equal texts. Null doc_ids and repeated
-    rows are rows like others. Extra columns are ignored; an empty table gives an empty result.
+    rows are rows like others; of a text only length and hashes are used, however long it is. Shards
+    that hold equally many of a group are told apart by a hash, groups of equal size by their text's
+    hash. Extra columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col("text"), F.lit(""))
@@ -127,7 +129,7 @@ def sharding(docs: DataFrame, *, shards: int = SHARDS, rounds: int = ROUNDS) ->
     placed = written(placed.unionByName(whole))
     used = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     rest = base.select("row").join(placed.select("row"), "row", "left_anti").withColumn("all", F.lit(0))
-    rest = _numbered(rest, "all", n * shards, 1)
+    rest = _numbered(rest, "all", n, 1)
     start, shard, slot = 0, F.lit(None).cast("int"), F.lit(None).cast("long")
     for s in range(shards):
         free = quota[s] - used.get(s, 0)

@@ -190,8 +190,8 @@ def substring_dedup(docs: DataFrame, *, phrase: int = PHRASE) -> DataFrame:
     Result: doc_id, n_words, n_removed, kept_sha256, kept (kept words joined by one space; where
     nothing was removed, the text as it was). A null or empty text has no words. A null doc_id is
     neither smaller nor larger: such a row keeps all its words. Rows with one doc_id do not affect
-    each other, but count as separate rows. Windows are judged on the input. Extra columns are
-    ignored; an empty table gives an empty result.
+    each other, but count as separate rows. Windows are judged on the input. A very long text is a
+    shard of its own, whole. Extra columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     docs = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -1,11 +1,14 @@
 """Plain versions of the operators, straight from their definitions."""
 
 import collections
+import functools
 import hashlib
 import math
 import re
 import zlib
 
+import numpy as np
+
 SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 
 
@@ -120,6 +123,100 @@ def contaminated(rows, items, window=10):
     return out
 
 
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def mask(line):
+    uneven = "  " in line or "\t" in line or "\r" in line
+    plain = (re.sub(r"[ \t\n\x0b\f\r]+", " ", line) if uneven else line).strip(" ")
+    return re.sub(r"[^ 0-9]*[0-9][^ ]*", "<*>", plain) if re.search("[0-9]", line) else plain
+
+
+def lines(rows, min_docs=5):
+    """(doc_id, text, lines, dropped lines) by the tree of templates, with texts in place of hashes."""
+    every = []
+    for i, t in rows:
+        for line in t.split("\n") if t is not None else ():
+            if line.strip(WHITE):
+                m = mask(line).split(" ")
+                every.append((i, t, line, tuple(m), (len(m), *m[:3]), (len(m), *m[-3:]) if len(m) >= 6 else None))
+    masks, size = collections.defaultdict(set), collections.Counter()
+    for _, _, _, m, leaf, _ in set(every):
+        masks[leaf].add(m)
+        size[leaf] += 1
+    votes = collections.defaultdict(collections.Counter)
+    for _, _, _, m, leaf, _ in every:
+        for at, token in enumerate(m):
+            votes[leaf, at][token] += 1
+    template = {}
+    for leaf, some in masks.items():
+        general = []
+        for at in range(leaf[0]):
+            token, n = max(votes[leaf, at].items(), key=lambda x: (x[1], x[0].encode()))
+            general.append(token if n >= 0.5 * sum(votes[leaf, at].values()) else None)
+        for m in some:
+            fits = sum(a == b for a, b in zip(m, general, strict=True)) >= 0.7 * leaf[0]
+            template[m] = ("leaf", leaf) if fits and len(some) > 1 and size[leaf] >= min_docs else ("mask", m)
+    least = {}
+    for i, t, _, m, _, _ in every:
+        k = template[m], i
+        least[k] = min(least.get(k, t), t)
+    held = collections.defaultdict(set)
+    for (k, _), t in least.items():
+        held[k].add(t)
+    shared = {k for k, texts in held.items() if len(texts) >= min_docs}
+    lasts = {last for *_, m, _, last in every if template[m] in shared}
+    body = collections.defaultdict(set)
+    for _, t, line, m, _, last in every:
+        if template[m] not in shared and (last is None or last not in lasts):
+            body[t].add(line)
+    recurring = set()
+    for k in shared:
+        families = collections.Counter(frozenset(body[t]) for t in held[k])
+        if len(families) >= min_docs and len(held[k]) - max(families.values()) >= 0.2 * len(held[k]):
+            recurring.add(k)
+    gone = {(i, line) for i, _, line, m, _, _ in every if template[m] in recurring}
+    out = []
+    for i, t in rows:
+        parts = t.split("\n") if t is not None else []
+        kept = [x for x in parts if (i, x) not in gone]
+        out.append((i, None if t is None else "\n".join(kept), len(parts), len(parts) - len(kept)))
+    return out
+
+
+def languages(network, text, piece=256):
+    """Mean probabilities of a text's bytes, one byte after the other."""
+    p, n, total = {k: v.astype(float) for k, v in network.p.items()}, len(network.p["uf"]), 0
+    data = text.encode("utf-8", "surrogatepass")
+    for a in range(0, len(data), piece):
+        part, states = data[a : a + piece], {}
+        for d, order in (("f", part), ("b", part[::-1])):
+            h, states[d] = np.zeros(n), []
+            for byte in order:
+                own, gates = p["t" + d][byte], h @ p["u" + d]
+                z, r = (np.clip((own[k : k + n] + gates[k : k + n]) / 4 + 0.5, 0, 1) for k in (0, n))
+                h = (1 - z) * np.clip(own[2 * n :] + r * gates[2 * n :], -1, 1) + z * h
+                states[d].append(h)
+        e = np.exp(np.array(states["f"]) @ p["vf"] + np.array(states["b"][::-1]) @ p["vb"] + p["o"])
+        total = total + (e / e.sum(axis=1, keepdims=True)).sum(axis=0)
+    return total / len(data)
+
+
+def most_links(sizes, room):
+    """Links kept by the best placement of groups of these sizes into shards with this room."""
+
+    @functools.cache
+    def best(k, room):
+        return max((kept + best(k + 1, left) for kept, left in parts(sizes[k], room)), default=-math.inf) if k < len(sizes) else 0
+
+    def parts(n, room):
+        if not room:
+            return [(0, ())] if n == 0 else []
+        return {(x * (x - 1) // 2 + kept, tuple(sorted((room[0] - x, *left)))) for x in range(min(n, room[0]) + 1) for kept, left in parts(n - x, room[1:])}
+
+    return best(0, tuple(sorted(room)))
+
+
 def judged(url, rules, default="allow"):
     host = path = ""
     parts = (url or "").split("://", 1)

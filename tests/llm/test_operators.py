@@ -129,6 +129,26 @@ def test_lines(docs, rows, none, spark):
     assert all(found[i]["n_dropped"] == 0 for i in range(30)) and all(found[100 + i]["n_dropped"] == 1 for i in range(10))
 
 
+def test_lines_plain(spark, docs, rows):
+    tell = lambda df, **how: [tuple(r) for r in line_dedup(df, **how).select("doc_id", "text", "n_lines", "n_dropped").collect()]
+    for n in (2, 5):
+        same(tell(docs, min_docs=n), brute.lines(short(rows), n))
+    same(tell(docs, broadcast_leaves=0), brute.lines(short(rows)))
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(rng.randint(1, 2)))
+    frames = [["menu", "of", "the", None, "page", None], ["menu", "of", "the", "old", None, "site"], ["by", None], ["read", "more"], ["one", "two", "three", "four", "five", "six", None, "x", "y", "z"]]
+    made = []
+    for i in range(300):
+        some = [" ".join(w or rng.choice((word(), str(rng.randint(1, 99)))) for w in rng.choice(frames)) for _ in range(rng.randint(0, 3))]
+        some += [" ".join(word() for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(0, 3))] + [rng.choice(["", " ", "\u00a0", "\t a  b\r"])]
+        rng.shuffle(some)
+        made.append((i, "\n".join(some)))
+    made += [(1000 + i, made[i % 7][1]) for i in range(40)]
+    expected = brute.lines(made)
+    assert 100 < sum(r[3] for r in expected) < sum(r[2] for r in expected) - 100
+    same(tell(spark.createDataFrame(made, "doc_id long, text string")), expected)
+
+
 def test_lines_general_template(spark):
     people = ["ann", "bob", "cleo", "dan", "eve", "fay", "gus", "hal"]
     texts = [(i, f"{p} has own text {p * 2} here\nMessage sent by user {p} at the front desk today\nmore of {p} {p * 3} and so on") for i, p in enumerate(people)]
@@ -267,6 +287,45 @@ def test_sharding_large_groups(spark):
     assert sum(len(shards[f"pair {k}"]) > 1 for k in range(100)) <= 10
 
 
+def test_sharding_links_kept(spark):
+    kept = lambda sizes: sum(n * (n - 1) // 2 for n in sizes)
+    for quota, shards, sizes in ((8, 3, [5, 5, 5, 3, 3, 3]), (8, 3, [7, 7, 5, 5]), (10, 4, [12, 9, 6, 4, 4, 3]), (12, 3, [12, 6, 6, 5, 4, 3]), (6, 4, [9, 4, 4, 2, 2, 2])):
+        texts = [f"group {k}" for k, n in enumerate(sizes) for _ in range(n)]
+        texts += [f"single {k}" for k in range(quota * shards - len(texts))]
+        random.Random(quota).shuffle(texts)
+        found = sharding(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards=shards).collect()
+        got = kept(collections.Counter((texts[r["doc_id"]], r["shard"]) for r in found).values())
+        assert 0.9 * brute.most_links(sizes, [quota] * shards) <= got <= brute.most_links(sizes, [quota] * shards)
+    # many small groups: against placement by a hash and against all links
+    texts = [f"text {k // (2 + k % 2)}" for k in range(4000)]
+    found = sharding(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = kept(collections.Counter((texts[r["doc_id"]], r["shard"]) for r in found).values())
+    hashed = kept(collections.Counter((t, zlib.crc32(str(i).encode()) % 40) for i, t in enumerate(texts)).values())
+    every = kept(collections.Counter(texts).values())
+    assert got >= 0.9 * every > 9 * hashed
+
+
+def test_language_plain(docs, rows, spark):
+    network = L.fit(L.training_rows(spark.read.parquet(f"{SF}/documents.parquet")))
+    found = L.language_id(docs, network=network).collect()
+    assert len(found) == len(rows)
+    seen = {}
+    for r in found:
+        assert r["held_out"] == (None if r["doc_id"] is None else zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+    expected = []
+    for i, t in short(rows):
+        if t not in seen:
+            p = brute.languages(network, t) if any(map(str.isalpha, t or "")) else None
+            seen[t] = ("und", 0.0) if p is None else (network.languages[int(p.argmax())], float(p.max()))
+        expected.append((i is None, i or 0, *seen[t]))
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["lang_pred"], r["score"]) for r in found)
+    for r, e in zip(got, sorted(expected), strict=True):
+        assert r[:3] == e[:3] and abs(r[3] - e[3]) < 1e-3
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = docs.where("lang is not null and length(text) > 0 and crc32(cast(doc_id as string)) % 5 <> 0").groupBy("lang").count().collect()
+    assert L.fit(L.training_rows(docs), languages=1).languages == [min(counts, key=lambda r: (-r["count"], r["lang"]))["lang"]]
+
+
 def test_language(docs, rows, none, spark):
     found = L.language_id(docs).collect()
     assert len(found) == len(rows)
