@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parquill.types import ArrayOf, Domain, PgType, parse_type
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
 def row_label(df: DataFrame) -> Column:
     """name=value of the first text or whole-number column that is not null."""
@@ -45,10 +53,45 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")), seen
 
 
-def multidimensional(df: DataFrame) -> dict[str, int]:
-    """Per native array column the number of rows with more than one dimension; what plain arrays would flatten."""
-    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.ArrayType)]
-    if not nested:
-        return {}
-    counts = df.agg(*[F.count_if(F.size(F.col(f"`{n}`")) > 0).alias(n) for n in nested]).first().asDict()
-    return {n: c for n, c in counts.items() if c}
+def _dimensions(f: T.StructField, t: PgType | str | None, c: Column) -> Column | None:
+    """Whether an array has more than one dimension, as a native array of arrays or as text."""
+    if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.ArrayType):
+        return F.size(c) > 0
+    t = parse_type(t) if isinstance(t, str) else t
+    while isinstance(t, Domain):
+        t = t.base
+    return c.rlike(r"^\s*(\[[^=]*=)?\{\s*\{") if isinstance(t, ArrayOf) and isinstance(f.dataType, T.StringType) else None
+
+
+class Told:
+    """What an export says about its rows, gathered while something else reads them."""
+
+    def __init__(self, df: DataFrame, made: list[Column], types: Mapping[str, PgType | str]):
+        """made: the export form of each column of df."""
+        self._seen, counts, names = Observation(), [], df.schema.names
+        self._lost, self._flat = {}, {}
+        kept = lambda k: F.col(f"source {k}")
+        for k, f in enumerate(df.schema.fields):
+            if f.name in types:
+                lost = kept(k).isNotNull() & F.col(quoted(f.name)).isNull()
+                counts += [F.count_if(lost).alias(f"lost {k}"), F.min(F.when(lost, F.col("source row"))).alias(f"row {k}")]
+                self._lost[k] = f.name
+            many = _dimensions(f, types.get(f.name), kept(k))
+            if many is not None:
+                counts.append(F.count_if(many).alias(f"flat {k}"))
+                self._flat[k] = f.name
+        self.rows = df.select(*made)
+        if counts:
+            needed = [F.col(quoted(names[k])).alias(f"source {k}") for k in sorted({*self._lost, *self._flat})]
+            wide = df.select(*made, *needed, row_label(df).alias("source row"))
+            self.rows = wide.observe(self._seen, *counts).select(*[F.col(quoted(n)) for n in names])
+
+    def lost(self) -> dict[str, int]:
+        """Per column the values that became NULL; after the rows were read."""
+        return {n: c for k, n in self._lost.items() if (c := self._seen.get[f"lost {k}"])}
+
+    def warnings(self, flattened: bool) -> list[str]:
+        out = [f"column {n}: {c} values became NULL, one of them in row {self._seen.get[f'row {k}']}" for k, n in self._lost.items() if (c := self._seen.get[f"lost {k}"])]
+        if flattened:
+            out += [f"column {n}: {c} arrays of several dimensions are flattened; see the array option" for k, n in self._flat.items() if (c := self._seen.get[f"flat {k}"])]
+        return out

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from parquill.errors import SettingsError
 from parquill.operators.annotated import write_annotated
-from parquill.operators.diagnostics import multidimensional
+from parquill.operators.diagnostics import Told
 from parquill.operators.sink import WriterStats, write_parquet
-from parquill.plans.resolve import project
+from parquill.plans.resolve import columns
 from parquill.plans.schema_tree import format_schema
 from parquill.settings import Array, Settings
 from parquill.types import PgType
@@ -39,18 +40,23 @@ def export(
     """Writes the result of a query, a table or a DataFrame as Parquet.
 
     sink: `native` (Spark's writer) or `annotated` (a folder of files with annotations that Spark
-    lacks; no statistics).
+    lacks; no statistics). Values that a conversion of a given type loses are counted on the way;
+    unless quiet, they and flattened arrays are told on stderr.
     """
     configure(spark)
     settings = settings or Settings()
     rows = df if df is not None else source(spark, query, table)
-    if not quiet and settings.array is Array.PLAIN:
-        for name in multidimensional(rows):
-            print(f"warning: column {name} has multi-dimensional arrays, which are flattened; see the array option", file=sys.stderr)
-    out = project(rows, types, settings)
+    told = Told(rows, columns(rows, types, settings), types or {})
+    out = told.rows
     if not quiet:
         print(format_schema(out.schema), file=sys.stderr)
     if sink == "annotated":
-        write_annotated(out, path, **{k: v for k, v in writing.items() if k in ("compression", "level")})
-        return None
-    return write_parquet(out, path, quiet=quiet, **writing)
+        write_annotated(out, path, **{k: v for k, v in writing.items() if k in ("compression", "level", "row_group_rows")})
+        stats = None
+    else:
+        stats = write_parquet(out, path, quiet=quiet, **writing)
+        stats = replace(stats, lost=told.lost())
+    if not quiet:
+        for warning in told.warnings(settings.array is Array.PLAIN):
+            print(f"warning: {warning}", file=sys.stderr)
+    return stats

@@ -5,14 +5,14 @@ from __future__ import annotations
 import sys
 import time
 import uuid
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parquill import VERSION
 from parquill.errors import SettingsError
 from parquill.operators.diagnostics import observed
-from parquill.sources.footers import footers
+from parquill.sources.footers import totals
 
 #: Names of codecs in Spark, and those that take a level.
 CODECS = {"none": "uncompressed", "snappy": "snappy", "gzip": "gzip", "lz4": "lz4_raw", "zstd": "zstd"}
@@ -32,6 +32,7 @@ class WriterStats:
     bytes_out: int
     groups: int
     seconds: float = 0.0
+    lost: Mapping[str, int] = field(default_factory=dict)  # values that became NULL, by column
 
     def summary(self) -> str:
         mib, s = 1024 * 1024, max(self.seconds, 1e-9)
@@ -79,27 +80,36 @@ def _one_file(spark: SparkSession, folder: str, target: str) -> None:
     fs.delete(at, True)
 
 
+def _sorted(df: DataFrame) -> bool:
+    """Whether rows come in an order that the query asked for."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "CollectMetrics", "Filter", "SubqueryAlias", "GlobalLimit", "LocalLimit"):
+        node = node.children().head()
+    return node.nodeName() == "Sort" and bool(getattr(node, "global")())
+
+
 def write_parquet(
     df: DataFrame, path: str, *, compression: str = "zstd", level: int | None = None, row_group_bytes: int = ROW_GROUP_BYTES,
     row_group_rows: int = ROW_GROUP_ROWS, single_file: bool = True, quiet: bool = True,
 ) -> WriterStats:
     """Writes df as one Parquet file (or a folder of them, for scale), replacing what was there.
 
-    With one file, sorted input keeps its order. The target appears whole or not at all.
+    With one file, sorted input keeps its order; other input is computed in parallel, and only the
+    write is one task. The target appears whole or not at all.
     """
     spark, began = df.sparkSession, time.monotonic()
     options = compression_options(compression, level) | page_options(compression, level)
-    options |= {"parquet.block.size": str(row_group_bytes), "parquet.block.row.count.limit": str(row_group_rows), "writer.version.note": VERSION}
+    options |= {"parquet.block.size": str(row_group_bytes), "parquet.block.row.count.limit": str(row_group_rows)}
     counted, seen = observed(df)
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     if single_file:
         folder = f"{path}.{uuid.uuid4().hex}.writing"
-        counted.coalesce(1).write.options(**options).mode("overwrite").parquet(folder)
+        (counted.coalesce(1) if _sorted(df) else counted.repartition(1)).write.options(**options).mode("overwrite").parquet(folder)
         _one_file(spark, folder, path)
     else:
         counted.write.options(**options).mode("overwrite").parquet(path)
-    found, groups = seen.get, footers(spark, path)
-    stats = WriterStats(found["rows"] or 0, found["bytes"] or 0, sum({g["file"]: g["file_bytes"] for g in groups}.values()), sum(g["group"] >= 0 for g in groups), time.monotonic() - began)
+    found, files = seen.get, totals(spark, path)
+    stats = WriterStats(found["rows"] or 0, found["bytes"] or 0, files["file_bytes"] or 0, files["groups"] or 0, time.monotonic() - began)
     if not quiet:
         print(stats.summary(), file=sys.stderr)
     return stats

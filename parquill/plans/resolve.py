@@ -236,7 +236,7 @@ def _nullable(c: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, c)
 
 
-def project(df: DataFrame, types: Mapping[str, PgType | str] | None = None, settings: Settings | None = None) -> DataFrame:
+def columns(df: DataFrame, types: Mapping[str, PgType | str] | None = None, settings: Settings | None = None) -> list[Column]:
     """All columns of a query result in their export form, in order, all of them optional.
 
     types: source types by column name; columns without one keep what their Spark type stands for.
@@ -251,4 +251,9 @@ def project(df: DataFrame, types: Mapping[str, PgType | str] | None = None, sett
         meta = {LOGICAL: found.hints[""]} if "" in found.hints else {}
         nested = {k: v for k, v in found.hints.items() if k}
         out.append(made.alias(f.name, metadata=meta | ({LOGICAL + ".nested": nested} if nested else {})))
-    return df.select(*out)
+    return out
+
+
+def project(df: DataFrame, types: Mapping[str, PgType | str] | None = None, settings: Settings | None = None) -> DataFrame:
+    """A query result with its columns() in place of its own."""
+    return df.select(*columns(df, types, settings))

@@ -1,8 +1,12 @@
-"""Parquet footers through Hadoop's own reader, so that any store that Spark reads will do."""
+"""Parquet footers: of a few files through Hadoop's own reader, of many in Spark's tasks."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 GROUPS = T.StructType([T.StructField(n, t) for n, t in (("file", T.StringType()), ("file_bytes", T.LongType()), ("created_by", T.StringType()), ("group", T.IntegerType()), ("rows", T.LongType()), ("raw_bytes", T.LongType()))])
@@ -38,6 +42,43 @@ def footers(spark: SparkSession, path: str) -> list[dict]:
     return out
 
 
+#: Stores that pyarrow opens by the same names as Hadoop.
+DIRECT = ("file", "hdfs")
+#: Files whose footers the driver reads itself.
+FEW = 64
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    for batch in batches:
+        rows = []
+        for path, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+            store, at = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+            with store.open_input_file(at) as f:
+                meta = pq.ParquetFile(f).metadata
+                groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+            rows.append({"files": 1, "file_bytes": size, "groups": len(groups), "rows": meta.num_rows, "raw_bytes": sum(g.total_byte_size for g in groups)})
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(n, pa.int64()) for n in TOTALS]))
+
+
+#: What totals() counts.
+TOTALS = ("files", "file_bytes", "groups", "rows", "raw_bytes")
+
+
+def totals(spark: SparkSession, path: str, few: int = FEW) -> dict[str, int]:
+    """Files, their bytes, row groups, rows and raw bytes. The footers of many files are read in tasks."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getContentSummary(p).getFileCount() <= few or fs.getUri().getScheme() not in DIRECT:
+        found = footers(spark, path)
+        sizes = {g["file"]: g["file_bytes"] for g in found}
+        return {"files": len(sizes), "file_bytes": sum(sizes.values()), "groups": sum(g["group"] >= 0 for g in found), "rows": sum(g["rows"] for g in found), "raw_bytes": sum(g["raw_bytes"] for g in found)}
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    return files.mapInArrow(_read, ", ".join(f"{n} long" for n in TOTALS)).agg(*[F.sum(n).alias(n) for n in TOTALS]).first().asDict()
+
+
 def inspect(spark: SparkSession, path: str) -> DataFrame:
     """A row for each column chunk: type, codec, counts, sizes and bounds."""
     rows = []

@@ -15,7 +15,7 @@ from parquill.operators.sink import compression_options
 from parquill.plans.schema_tree import format_schema, leaf_count
 from parquill.settings import Settings
 from parquill.sources import postgres
-from parquill.sources.footers import file_schema, footers, inspect
+from parquill.sources.footers import file_schema, footers, inspect, totals
 from parquill.streaming.batches import export_stream
 from parquill.types import ArrayOf, Composite, Enumeration, RangeOf, Simple
 from tests.conftest import SF
@@ -151,3 +151,41 @@ def test_sliced_lists_keep_nulls():
     sliced = pa.table({"a": pa.array(rows, pa.list_(pa.int64())).slice(1)})
     found = annotated_table(sliced, {"a": {"/element": "UINT_32"}}).column("a")
     assert found.to_pylist() == rows[1:] and found.type == pa.list_(pa.uint32())
+
+
+def test_annotated_replaces_and_groups(spark, tmp_path):
+    types = {"u": "uuid", "h": "halfvec(2)", "s": "sparsevec(9)"}
+    rows = [(f"0000000a-000b-000c-000d-{k:012x}" if k % 3 else None, "[1,2.5]" if k % 4 else None, "{1:-1,5:5.25}/9" if k % 5 else None) for k in range(250)]
+    df = spark.createDataFrame(rows, "u string, h string, s string").coalesce(1)
+    for _ in range(2):
+        export(spark, str(tmp_path / "a"), df=df, types=types, settings=Settings(float16="float16"), sink="annotated", row_group_rows=100)
+    (path,) = [p for p in (tmp_path / "a").iterdir() if p.name.endswith(".parquet") and not p.name.startswith(".")]
+    file = pq.ParquetFile(path)
+    assert file.metadata.num_row_groups == 3 and b"parquill.version" in file.schema_arrow.metadata
+    table = file.read()
+    assert table.schema.field("s").type.key_type == pa.uint32()
+    assert [x and str(x) for x in table["u"].to_pylist()] == [r[0] for r in rows]
+    assert [x and [float(v) for v in x] for x in table["h"].to_pylist()] == [r[1] and [1.0, 2.5] for r in rows]
+    assert [x and dict(x) for x in table["s"].to_pylist()] == [r[2] and {1: -1.0, 5: 5.25} for r in rows]
+
+
+def test_lost_values_are_told(spark, tmp_path, capsys):
+    df = spark.createDataFrame([("a", "1.5", "{1,2}"), ("b", "NaN", "{{1,2},{3,4}}"), ("c", None, None)], "id string, v string, t string")
+    stats = export(spark, str(tmp_path / "x.parquet"), df=df, types={"v": "numeric(9,2)", "t": "int4[]"}, settings=Settings(numeric="decimal"), quiet=False)
+    said = capsys.readouterr().err
+    assert stats.lost == {"v": 1} and "column v: 1 values became NULL, one of them in row id=b" in said and "column t: 1 arrays" in said
+    assert export(spark, str(tmp_path / "x.parquet"), df=df.where("id = 'a'"), types={"t": "int4[]"}).lost == {}
+
+
+def test_footers_in_tasks(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(1000).repartition(9).write.parquet(path)
+    assert totals(spark, path, few=0) == totals(spark, path) and totals(spark, path)["rows"] == 1000
+
+
+def test_unsorted_rows_in_parallel(spark, tmp_path):
+    from parquill.operators.sink import _sorted
+
+    df = spark.range(100).selectExpr("id", "id * 2 as twice")
+    assert not _sorted(df) and _sorted(df.orderBy("id")) and _sorted(df.orderBy("id").select("twice")) and not _sorted(df.sortWithinPartitions("id"))
+    assert export(spark, str(tmp_path / "u.parquet"), df=df).rows == 100 and pq.read_table(tmp_path / "u.parquet")["id"].to_pylist() != []
