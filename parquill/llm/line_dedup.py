@@ -72,7 +72,8 @@ def line_dedup(docs: DataFrame, *, min_docs: int = MIN_DOCS, keep: tuple[str, ..
     votes = tokens.groupBy("leaf", "at", "token").agg(F.sum("c").alias("c"))
     best = votes.groupBy("leaf", "at").agg(F.max(F.struct("c", "token")).alias("best"), F.sum("c").alias("all"))
     token = F.when(F.col("best.c") >= PREVAILS * F.col("all"), F.col("best.token"))
-    template = best.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", token.alias("token")))), lambda x: x["token"]).alias("template"))
+    # one row for each leaf, written, so that Spark can split a leaf with many masks
+    template = written(best.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", token.alias("token")))), lambda x: x["token"]).alias("template")))
     same = F.expr("size(filter(zip_with(split(mask, ' '), template, (a, b) -> a = b), x -> x))")
     general = several.join(template, "leaf").where(same >= AGREES * F.size("template")).select("t0", F.xxhash64(F.lit("leaf"), "leaf").alias("t1"))
 
