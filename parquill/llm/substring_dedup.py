@@ -1,13 +1,14 @@
 """Removal of passages that an earlier document holds: repeated-phrase automata.
 
-1. Winnowing picks phrases of 16 words such that any 50 successive words hold a picked one, and
-   equal 50 words hold the same one. A shuffle of phrase hashes confirms the phrases that recur.
-2. Each shard (some MB of documents) compiles the recurring phrases of its documents into an
-   Aho-Corasick automaton over coded words, and streams the documents through it; only windows
-   around an occurrence can recur. Documents without one are done.
-3. Per part of the hash space, the shards' distinct windows meet (96-bit hashes, one entry a
-   shard, so a window that a third of all documents hold is no hot key); each shard learns, as
-   one bit a window, whether a smaller doc_id outside it has the window, and cuts its texts.
+1. Winnowing picks a phrase of 16 words in any 50 successive words, the same one in equal 50 words.
+   A shuffle confirms the phrases that recur, with their words as 16-bit codes.
+2. The confirmed phrases are dealt into shards, and each shard compiles its own into an Aho-Corasick
+   automaton. All documents are streamed: a run of windows that pick one phrase goes to that phrase's
+   shard (a filter holds back runs that surely have none), so no document passes through shards that
+   cannot hold its phrases. Only windows around an occurrence that the automaton locates can recur.
+3. Equal windows pick equal phrases and so meet in one shard, which compares them (96-bit hashes, one
+   entry a lot of documents, so a passage that a third of all documents hold is no hot key) and
+   answers with one bit a window: whether a smaller doc_id has it. Then the lots cut their texts.
 """
 
 from __future__ import annotations
@@ -25,9 +26,13 @@ from parquill.llm import _common as C
 
 WINDOW = 50
 PHRASE = 16
+#: Characters that stand for word codes begin here, past the surrogates; the next one after all codes parts runs.
+FIRST_CHAR, BREAK = 0x10000, 0x20000
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 STEP = "kind int, shard long, seg int, nr int, doc_id long, n_words long, kept_sha256 string, text string, data binary"
+#: Kinds of rows on the way: documents that are done, runs of windows and the answers to them, documents to cut, phrases.
+DONE, RUNS, CUT, WORDS = range(4)
 
 
 def _phrases(h: np.ndarray, offsets: np.ndarray, window: int, phrase: int):
@@ -39,6 +44,23 @@ def _phrases(h: np.ndarray, offsets: np.ndarray, window: int, phrase: int):
     return x, starts, least[starts]
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... for sizes[0] numbers, then from starts[1], and so on."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _runs(starts: np.ndarray, least: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of each run: successive ones of a document that pick one phrase."""
+    new = np.ones(len(starts), bool)
+    new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    return first, np.diff(np.append(first, len(starts)))
+
+
+def _codes(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(0xFFFF)).astype(np.uint16)
+
+
 def _picked(window: int, phrase: int):
     def run(batches):
         cache = C.WordHashes()
@@ -46,55 +68,23 @@ def _picked(window: int, phrase: int):
             ids, texts = pdf["doc_id"].to_numpy(), pdf["text"].tolist()
             for a, b in C.chunks(texts):
                 h, offsets = C.hashed([C.words_of(t) for t in texts[a:b]], cache)
-                _, starts, least = _phrases(h, offsets, window, phrase)
+                x, starts, least = _phrases(h, offsets, window, phrase)
                 if not len(starts):
                     continue
                 doc = np.searchsorted(offsets, starts, "right") - 1
-                new = np.ones(len(starts), bool)
-                new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
-                yield pd.DataFrame({"h": least[new].view(np.int64), "doc_id": ids[a:b][doc[new]]})
+                first, _ = _runs(starts, least, doc)
+                at = starts[first]
+                at = at + (x[at[:, None] + np.arange(window - phrase + 1)] == least[first][:, None]).argmax(axis=1)
+                words = _codes(h)[at[:, None] + np.arange(phrase)].view(np.int64)
+                out = {"h": least[first].view(np.int64), "doc_id": ids[a:b][doc[first]]}
+                yield pd.DataFrame(out | {f"c{i}": words[:, i] for i in range(phrase // 4)})
 
     return run
 
 
-def _entries(h, starts, ids_of_starts):
-    """Distinct windows at the starts in hash order: both hashes, least doc_id, and each start's entry."""
-    one, two = C.rolled(h, WINDOW)[starts], C.rolled(h, WINDOW, 1)[starts] >> np.uint64(32)
-    order = np.lexsort((two, one))
-    one, two = one[order], two[order]
-    new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    first = np.flatnonzero(new)
-    least = np.minimum.reduceat(ids_of_starts[order], first)
-    entry = np.empty(len(order), np.int64)
-    entry[order] = np.cumsum(new) - 1
-    return one[first], two[first].astype(np.uint32), least, entry
-
-
-def _code(ids: np.ndarray) -> str:
-    """Three characters a word, from three alphabets, so that matches begin at words."""
-    out = np.empty((len(ids), 3), np.uint32)
-    out[:, 0], out[:, 1], out[:, 2] = ids & 255, 256 + ((ids >> 8) & 255), 512 + (ids >> 16)
-    return out.tobytes().decode("utf-32-le", "surrogatepass")
-
-
-def _located(lists: list[list[bytes]], offsets, x, wanted, phrase: int) -> np.ndarray:
-    """Positions of all occurrences of the wanted phrases (hashes found in x), by the shard's automaton."""
-    vocabulary: dict[bytes, int] = {}
-    ids = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for ws in lists for w in ws), np.int64)
-    at = np.flatnonzero(np.isin(x, wanted))
-    _, first = np.unique(x[at], return_index=True)
-    automaton = ahocorasick.Automaton()
-    for p in at[first].tolist():
-        automaton.add_word(_code(ids[p : p + phrase]), 0)
-    automaton.make_automaton()
-    found = []
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        found.append(np.fromiter((end for end, _ in automaton.iter(_code(ids[a:b]))), np.int64) // 3 - phrase + 1 + a)
-    return np.concatenate(found)
-
-
 def _streamed(recurring, n_segments: int, phrase: int):
+    """Runs of windows that may hold a confirmed phrase, equal ones once a lot, packed for the phrases' shards."""
+
     def run(batches):
         cache, n, part = C.WordHashes(), 0, TaskContext.get().partitionId()
         for pdf in batches:
@@ -104,36 +94,49 @@ def _streamed(recurring, n_segments: int, phrase: int):
                 rows = []
                 lists = [C.words_of(t) for t in texts[a:b]]
                 h, offsets = C.hashed(lists, cache)
-                x, starts, least = _phrases(h, offsets, WINDOW, phrase)
+                _, starts, least = _phrases(h, offsets, WINDOW, phrase)
                 doc = np.searchsorted(offsets, starts, "right") - 1
-                hit = C.in_filter(recurring.value, least) & known[a:b][doc]
+                first, size = _runs(starts, least, doc)
+                hit = C.in_filter(recurring.value, least[first]) & known[a:b][doc[first]]
+                first, size = first[hit], size[hit]
+                key, doc, starts = least[first], doc[first], starts[first]
                 some = np.zeros(b - a, bool)
-                some[doc[hit]] = True
+                some[doc] = True
                 for i in np.flatnonzero(~some).tolist():
-                    rows.append((0, None, None, None, ids[a + i], len(lists[i]), hashlib.sha256(b" ".join(lists[i])).hexdigest(), texts[a + i], None))
-                if some.any():
-                    at = np.flatnonzero(some).tolist()
-                    own = [lists[i] for i in at]
-                    h, offsets = C.hashed(own, cache)
-                    x, starts, _ = _phrases(h, offsets, WINDOW, phrase)
-                    occurs = _located(own, offsets, x, np.unique(least[hit]), phrase)
-                    near = np.zeros(len(h) + 1, np.int64)
-                    np.add.at(near, np.maximum(occurs - (WINDOW - phrase), 0), 1)
-                    np.add.at(near, occurs + 1, -1)
-                    starts = starts[np.cumsum(near)[starts] > 0]
-                    doc = np.searchsorted(offsets, starts, "right") - 1
+                    rows.append((DONE, None, None, None, ids[a + i], len(lists[i]), hashlib.sha256(b" ".join(lists[i])).hexdigest(), texts[a + i], None))
+                if len(first):
                     shard = (part << 32) + n
                     n += 1
-                    one, two, least_id, _ = _entries(h, starts, np.array([int(ids[a + i]) for i in at], np.int64)[doc])
-                    seg = (one >> np.uint64(64 - n_segments.bit_length() + 1)).astype(np.int64)
-                    cuts = np.searchsorted(seg, np.arange(n_segments + 1))
+                    own = np.array([int(ids[a + i]) for i in doc.tolist()], np.int64)
+                    windows = _ranges(starts, size)
+                    one, two = C.rolled(h, WINDOW)[windows], C.rolled(h, WINDOW, 1)[windows]
+                    # equal runs: equal windows at equal places
+                    at, place = np.cumsum(size) - size, (2 * _ranges(np.zeros_like(size), size) + 1).astype(np.uint64)
+                    k1, k2 = (np.add.reduceat(C.mix(x) * place, at) for x in (one, two))
+                    seg = (key & np.uint64(n_segments - 1)).astype(np.int64)
+                    order = np.lexsort((size, k2, k1, seg))
+                    new = np.ones(len(order), bool)
+                    new[1:] = (np.diff(k1[order]) != 0) | (np.diff(k2[order]) != 0) | (np.diff(size[order]) != 0) | (np.diff(seg[order]) != 0)
+                    lead = np.flatnonzero(new)
+                    chosen, smallest = order[lead], np.minimum.reduceat(own[order], lead)
+                    entry = np.empty(len(order), np.int64)
+                    entry[order] = np.cumsum(new) - 1
+                    seg, sizes = seg[chosen], size[chosen]
+                    ends = np.concatenate([[0], np.cumsum(sizes)])
+                    windows = _ranges(at[chosen], sizes)
+                    one, two = one[windows], (two[windows] >> np.uint64(32)).astype(np.uint32)
+                    codes = _codes(h)[_ranges(starts[chosen], sizes + WINDOW - 1)]
                     for s in np.unique(seg).tolist():
-                        c, d = cuts[s], cuts[s + 1]
-                        rows.append((1, shard, s, 0, None, None, None, None, one[c:d].tobytes() + two[c:d].tobytes() + least_id[c:d].tobytes()))
-                    local = starts - offsets[doc]
-                    cuts = np.searchsorted(doc, np.arange(len(at) + 1))
-                    for j, i in enumerate(at):
-                        rows.append((2, shard, None, j, ids[a + i], len(lists[i]), None, texts[a + i], local[cuts[j] : cuts[j + 1]].astype(np.int32).tobytes()))
+                        c, d = np.searchsorted(seg, [s, s + 1]).tolist()
+                        w, v = ends[c], ends[d]
+                        words = codes[w + (WINDOW - 1) * c : v + (WINDOW - 1) * d]
+                        data = (smallest[c:d], one[w:v], sizes[c:d].astype(np.int32), two[w:v], words)
+                        rows.append((RUNS, shard, s, d - c, None, None, None, None, b"".join(x.tobytes() for x in data)))
+                    # start, windows, where their bits will stand, and whether a smaller doc_id of this lot has the whole run
+                    plan = np.stack([starts - offsets[doc], size, ends[entry], own > smallest[entry]], axis=1).astype(np.int32)
+                    cuts = np.searchsorted(doc, np.arange(b - a + 1))
+                    for j, i in enumerate(np.flatnonzero(some).tolist()):
+                        rows.append((CUT, shard, None, j, ids[a + i], len(lists[i]), None, texts[a + i], plan[cuts[i] : cuts[i + 1]].tobytes()))
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in STEP.split(", ")])
                 for c in ("shard", "seg", "nr", "doc_id", "n_words"):
                     out[c] = out[c].astype("Int64")
@@ -142,43 +145,80 @@ def _streamed(recurring, n_segments: int, phrase: int):
     return run
 
 
-def _compared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For one part of the hash space: each shard's bits, set where another shard has a smaller doc_id."""
-    sizes = [len(x) // 20 for x in pdf["data"]]
-    one = np.concatenate([np.frombuffer(x, np.uint64, n) for x, n in zip(pdf["data"], sizes, strict=True)])
-    two = np.concatenate([np.frombuffer(x, np.uint32, n, 8 * n) for x, n in zip(pdf["data"], sizes, strict=True)])
-    ids = np.concatenate([np.frombuffer(x, np.int64, n, 12 * n) for x, n in zip(pdf["data"], sizes, strict=True)])
-    order = np.lexsort((two, one))
-    new = np.ones(len(one), bool)
-    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-    least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
-    later = np.empty(len(one), bool)
-    later[order] = ids[order] > least[np.cumsum(new) - 1]
-    bits = [np.packbits(x).tobytes() for x in np.split(later, np.cumsum(sizes)[:-1])]
-    return pd.DataFrame({"kind": 1, "shard": pdf["shard"], "seg": pdf["seg"], "nr": pd.Series(sizes, index=pdf.index), "doc_id": None, "text": None, "data": bits})
+def _automaton(phrases: np.ndarray):
+    """Of phrases, one a row, as 16-bit codes of words; a word is one character."""
+    automaton = ahocorasick.Automaton()
+    for p in phrases:
+        automaton.add_word((p.astype(np.uint32) + FIRST_CHAR).tobytes().decode("utf-32-le"), 0)
+    automaton.make_automaton()
+    return automaton
+
+
+def _unpacked(data: bytes, n: int):
+    """Smallest doc_id and number of windows of n runs, the hashes of the windows, and the words' codes."""
+    sizes_at = (len(data) - (12 + 2 * (WINDOW - 1)) * n) // 14  # windows
+    smallest, one = np.frombuffer(data, np.int64, n), np.frombuffer(data, np.uint64, sizes_at, 8 * n)
+    sizes, two = np.frombuffer(data, np.int32, n, 8 * (n + sizes_at)), np.frombuffer(data, np.uint32, sizes_at, 12 * n + 8 * sizes_at)
+    return smallest, sizes.astype(np.int64), one, two, np.frombuffer(data, np.uint16, offset=12 * (n + sizes_at))
+
+
+def _located(automaton, sizes: np.ndarray, codes: np.ndarray, phrase: int) -> np.ndarray:
+    """For each window of the runs, whether the automaton locates a phrase in it."""
+    lengths = sizes + WINDOW  # with a break after each run
+    begins = np.cumsum(lengths) - lengths
+    stream = np.full(int(lengths.sum()), BREAK, np.uint32)
+    stream[_ranges(begins, lengths - 1)] = codes.astype(np.uint32) + FIRST_CHAR
+    ends = np.fromiter((end for end, _ in automaton.iter(stream.tobytes().decode("utf-32-le"))), np.int64)
+    at = ends - phrase + 1
+    near = np.zeros(len(stream) + 1, np.int64)
+    np.add.at(near, np.maximum(at - (WINDOW - phrase), 0), 1)
+    np.add.at(near, at + 1, -1)
+    return np.cumsum(near)[_ranges(begins, sizes)] > 0
+
+
+def _compared(phrase: int):
+    """For one shard: its phrases' automaton over all runs; a bit for each window, set where a smaller doc_id has it."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        words, pdf = pdf.loc[pdf["kind"] == WORDS, "words"], pdf[pdf["kind"] == RUNS]
+        lots = [_unpacked(x, int(n)) for x, n in zip(pdf["data"], pdf["nr"], strict=True)]
+        totals = [len(x[2]) for x in lots]
+        bits = np.zeros(sum(totals), bool)
+        if len(words) and lots:
+            automaton = _automaton(np.concatenate(words.tolist()).astype(np.int64).view(np.uint16).reshape(-1, phrase))
+            found = np.flatnonzero(np.concatenate([_located(automaton, sizes, codes, phrase) for _, sizes, _, _, codes in lots]))
+            ids = np.concatenate([np.repeat(x[0], x[1]) for x in lots])[found]
+            one, two = np.concatenate([x[2] for x in lots])[found], np.concatenate([x[3] for x in lots])[found]
+            if len(found):
+                order = np.lexsort((two, one))
+                new = np.ones(len(order), bool)
+                new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+                least = np.minimum.reduceat(ids[order], np.flatnonzero(new))
+                bits[found[order]] = ids[order] > least[np.cumsum(new) - 1]
+        data = [np.packbits(x).tobytes() for x in np.split(bits, np.cumsum(totals)[:-1])] if lots else []
+        return pd.DataFrame({"kind": RUNS, "shard": pdf["shard"], "seg": pdf["seg"], "nr": pd.Series(totals, index=pdf.index, dtype="int64"), "doc_id": None, "text": None, "data": pd.Series(data, index=pdf.index, dtype=object)})
+
+    return run
 
 
 def _cut(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A shard's documents without the words that windows of earlier documents cover."""
-    answers = pdf[pdf["kind"] == 1].sort_values("seg")
-    docs = pdf[pdf["kind"] == 2].sort_values("nr")
-    outside = np.concatenate([np.zeros(0, np.uint8), *[np.unpackbits(np.frombuffer(x, np.uint8), count=int(n)) for x, n in zip(answers["data"], answers["nr"], strict=True)]]) == 1
+    """A lot's documents without the words that windows of earlier documents cover."""
+    answers = pdf[pdf["kind"] == RUNS].sort_values("seg")
+    docs = pdf[pdf["kind"] == CUT].sort_values("nr")
+    bits = np.concatenate([np.zeros(0, np.uint8), *[np.unpackbits(np.frombuffer(x, np.uint8), count=int(n)) for x, n in zip(answers["data"], answers["nr"], strict=True)]]) == 1
     lists = [C.words_of(t) for t in docs["text"]]
-    ids = docs["doc_id"].astype("int64").to_numpy()
-    h, offsets = C.hashed(lists, C.WordHashes())
-    local = [np.frombuffer(x, np.int32) for x in docs["data"]]
-    doc = np.repeat(np.arange(len(lists)), [len(x) for x in local])
-    starts = np.concatenate([np.zeros(0, np.int64), *local]).astype(np.int64) + offsets[doc]
-    cover = np.zeros(len(h) + 1, np.int64)
-    if len(starts):
-        _, _, least, entry = _entries(h, starts, ids[doc])
-        late = starts[outside[entry] | (ids[doc] > least[entry])]
-        np.add.at(cover, late, 1)
-        np.add.at(cover, late + WINDOW, -1)
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    plans = [np.frombuffer(x, np.int32).reshape(-1, 4).astype(np.int64) for x in docs["data"]]
+    start, size, at, whole = np.concatenate(plans).T
+    start = start + np.repeat(offsets[:-1], [len(x) for x in plans])
+    late = _ranges(start, size)[np.repeat(whole == 1, size) | bits[_ranges(at, size)]]
+    cover = np.zeros(int(offsets[-1]) + 1, np.int64)
+    np.add.at(cover, late, 1)
+    np.add.at(cover, late + WINDOW, -1)
     keep = np.cumsum(cover)[:-1] == 0
     kept = [b" ".join([w for w, k in zip(ws, keep[a:b].tolist(), strict=True) if k]) for ws, a, b in zip(lists, offsets[:-1], offsets[1:], strict=True)]
     return pd.DataFrame({
-        "doc_id": ids, "n_words": [len(x) for x in lists],
+        "doc_id": docs["doc_id"].astype("int64").to_numpy(), "n_words": [len(x) for x in lists],
         "n_removed": [len(x) - int(keep[a:b].sum()) for x, a, b in zip(lists, offsets[:-1], offsets[1:], strict=True)],
         "kept_sha256": [hashlib.sha256(x).hexdigest() for x in kept], "kept": [x.decode("utf-8", "surrogatepass") for x in kept],
     })
@@ -191,20 +231,25 @@ def substring_dedup(docs: DataFrame, *, phrase: int = PHRASE) -> DataFrame:
     nothing was removed, the text as it was). A null or empty text has no words. A null doc_id is
     neither smaller nor larger: such a row keeps all its words. Rows with one doc_id do not affect
     each other, but count as separate rows. Windows are judged on the input. A very long text is a
-    shard of its own, whole. Extra columns are ignored; an empty table gives an empty result.
+    lot of its own, whole. Extra columns are ignored; an empty table gives an empty result. `phrase`
+    is a multiple of four, less than the window.
     """
     spark = docs.sparkSession
     docs = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_segments = C.segments(C.text_bytes(docs))
+    codes = [f"c{i}" for i in range(phrase // 4)]
     recurring = C.written(
-        docs.where("doc_id is not null and text is not null").mapInPandas(_picked(WINDOW, phrase), "h long, doc_id long")
-        .groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("h")
+        docs.where("doc_id is not null and text is not null")
+        .mapInPandas(C.frugal(_picked(WINDOW, phrase)), ", ".join(f"{c} long" for c in ["h", "doc_id", *codes]))
+        .groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), *[F.min(c).alias(c) for c in codes]).where("a < b").select("h", *codes)
     )
     bits = spark.sparkContext.broadcast(C.bit_filter(recurring, "h", recurring.count()))
-    step = C.written(docs.mapInPandas(_streamed(bits, n_segments, phrase), STEP))
-    done = step.where("kind = 0").selectExpr("doc_id", "n_words", "0L as n_removed", "kept_sha256", "text as kept")
+    step = C.written(docs.mapInPandas(C.frugal(_streamed(bits, n_segments, phrase)), STEP))
+    done = step.where(F.col("kind") == DONE).selectExpr("doc_id", "n_words", "0L as n_removed", "kept_sha256", "text as kept")
+    runs = step.where(F.col("kind") == RUNS).select("kind", "shard", "seg", "nr", "data")
+    seg = F.col("h").bitwiseAND(F.lit(n_segments - 1)).cast("int").alias("seg")
+    words = recurring.select(F.lit(WORDS).alias("kind"), seg, F.array(*codes).alias("words"))
     columns = "kind int, shard long, seg int, nr int, doc_id long, text string, data binary"
-    names = [c.split()[0] for c in columns.split(", ")]
-    answers = step.where("kind = 1").select("shard", "seg", "data").groupBy("seg").applyInPandas(_compared, columns)
-    cut = step.where("kind = 2").select(*names).unionByName(answers).groupBy("shard").applyInPandas(_cut, RESULT)
-    return done.unionByName(cut)
+    answers = runs.unionByName(words, allowMissingColumns=True).groupBy("seg").applyInPandas(_compared(phrase), columns)
+    cut = step.where(F.col("kind") == CUT).select(*[c.split()[0] for c in columns.split(", ")])
+    return done.unionByName(cut.unionByName(answers).groupBy("shard").applyInPandas(_cut, RESULT))

@@ -13,6 +13,7 @@ from parquill.llm import embedding_dedup as E
 from parquill.llm import language_id as L
 from parquill.llm import lm_scoring as M
 from parquill.llm import queries as Q
+from parquill.llm import substring_dedup as S
 from parquill.llm import url_filter as U
 from parquill.llm.components import components
 from parquill.llm.decontamination import decontamination
@@ -77,6 +78,22 @@ def test_substring(docs, rows, none):
     assert substring_dedup(none).count() == 0
 
 
+def test_substring_automaton_locates():
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    one, two = S.C.rolled(h, S.WINDOW), (S.C.rolled(h, S.WINDOW, 1) >> np.uint64(32)).astype(np.uint32)
+    pack = lambda i: b"".join(x.tobytes() for x in (np.array([i]), one, np.array([len(one)], np.int32), two, S._codes(h)))
+    lots = [(S.RUNS, 1, 0, 1, pack(4), None), (S.RUNS, 2, 0, 1, pack(9), None)]
+    set_bits = lambda rows: [int(np.unpackbits(np.frombuffer(x, np.uint8)).sum()) for x in S._compared(S.PHRASE)(pd.DataFrame(rows, columns=["kind", "shard", "seg", "nr", "data", "words"]))["data"]]
+    phrase = lambda at: (S.WORDS, None, 0, None, None, S._codes(h)[at : at + S.PHRASE].view(np.int64))
+    assert set_bits(lots) == [0, 0]  # without its phrase nothing is located
+    assert set_bits([*lots, phrase(30)]) == [0, 11]  # in all windows
+    assert set_bits([*lots, phrase(4)]) == [0, 5]  # in those that start at 0 to 4
+    assert set_bits([phrase(4)]) == []
+
+
 def test_lm(docs, rows, none):
     found = M.lm_scoring(docs).collect()
     assert len(M.lm_scoring(none).collect()) == 0
