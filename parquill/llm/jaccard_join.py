@@ -33,6 +33,8 @@ SKETCH = 128
 MARGIN = 0.18
 #: Rows that a task takes at a time: of sketches, and of whole sets.
 BUNDLE, SETS = 20_000, 2_000
+#: Parts that the rows of a large bucket are dealt into where they learn its size.
+SALTS = 64
 #: Stands for a null doc_id where rows meet by it and by their set.
 NO_ID = -(1 << 63)
 
@@ -151,6 +153,16 @@ def _bundled(decide, each: int):
     return run
 
 
+def _met(rows: DataFrame, key: str) -> DataFrame:
+    """Rows that share their key with others, and the size of their bucket. Rows of large buckets meet the size in salted parts."""
+    size = C.written(rows.groupBy(key).agg(F.count("*").alias("size")).where("size > 1"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    large = size.where(F.col("size") > BUCKET).withColumn("salt", salts)
+    small = rows.join(large, [key, "salt"], "left_anti").join(size.where(F.col("size") <= BUCKET), key)
+    return small.unionByName(rows.join(large, [key, "salt"])).drop("salt")
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     """Rows in ranges of leaves with about equal numbers of rows; a leaf is in one range."""
     return rows.repartitionByRange("leaf").sortWithinPartitions("leaf")
@@ -290,8 +302,7 @@ def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingl
     rows = own.select("node", "paths", each).select("node", *[F.expr(f"get(paths, run * {DEPTH} + {d})").alias(f"p{d}") for d in range(DEPTH)])
     leaves = None
     for d in range(DEPTH):
-        size = rows.groupBy(f"p{d}").agg(F.count("*").alias("size")).where("size > 1")
-        met = C.written(rows.join(size, f"p{d}").select("node", *[f"p{e}" for e in range(d, DEPTH)], "size"))
+        met = C.written(_met(rows, f"p{d}"))
         last = d == DEPTH - 1
         some = (met if last else met.where(F.col("size") <= BUCKET)).select("node", F.col(f"p{d}").alias("leaf"), "size")
         leaves = some if leaves is None else leaves.unionByName(some)
