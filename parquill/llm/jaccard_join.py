@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parquill.llm import _common as C
-from parquill.llm.components import components, least_in, local_roots
+from parquill.llm.components import by_key, components, least_in, local_roots
 
 SHINGLE = 5
 RECALL = 0.9998
@@ -33,8 +33,6 @@ SKETCH = 128
 MARGIN = 0.18
 #: Rows that a task takes at a time: of sketches, and of whole sets.
 BUNDLE, SETS = 20_000, 2_000
-#: Parts that the rows of a large bucket are dealt into where they learn its size.
-SALTS = 64
 #: Stands for a null doc_id where rows meet by it and by their set.
 NO_ID = -(1 << 63)
 
@@ -153,16 +151,6 @@ def _bundled(decide, each: int):
     return run
 
 
-def _met(rows: DataFrame, key: str) -> DataFrame:
-    """Rows that share their key with others, and the size of their bucket. Rows of large buckets meet the size in salted parts."""
-    size = C.written(rows.groupBy(key).agg(F.count("*").alias("size")).where("size > 1"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    large = size.where(F.col("size") > BUCKET).withColumn("salt", salts)
-    small = rows.join(large, [key, "salt"], "left_anti").join(size.where(F.col("size") <= BUCKET), key)
-    return small.unionByName(rows.join(large, [key, "salt"])).drop("salt")
-
-
 def _dealt(rows: DataFrame) -> DataFrame:
     """Rows in ranges of leaves with about equal numbers of rows; a leaf is in one range."""
     return rows.repartitionByRange("leaf").sortWithinPartitions("leaf")
@@ -302,7 +290,8 @@ def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingl
     rows = own.select("node", "paths", each).select("node", *[F.expr(f"get(paths, run * {DEPTH} + {d})").alias(f"p{d}") for d in range(DEPTH)])
     leaves = None
     for d in range(DEPTH):
-        met = C.written(_met(rows, f"p{d}"))
+        size = C.written(rows.groupBy(f"p{d}").agg(F.count("*").alias("size")).where("size > 1").withColumn("of", F.col("size")))
+        met = C.written(by_key(rows, size, f"p{d}", "node").withColumnRenamed("of", "size"))
         last = d == DEPTH - 1
         some = (met if last else met.where(F.col("size") <= BUCKET)).select("node", F.col(f"p{d}").alias("leaf"), "size")
         leaves = some if leaves is None else leaves.unionByName(some)
@@ -319,8 +308,8 @@ def jaccard_join(docs: DataFrame, *, threshold: tuple[int, int] = (4, 5), shingl
 
     # every component once more, with whole sets
     members = near.select(F.col("v").alias("node"), F.col("root").alias("leaf")).unionByName(near.select(F.col("root").alias("node"), F.col("root").alias("leaf")).distinct())
-    sizes = members.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(float(BUCKET))).cast("int").alias("blocks"))
-    members = members.join(C.written(sizes), "leaf").join(classes.withColumn("id", F.coalesce("rep", F.lit(NO_ID))), "node")
+    sizes = members.groupBy("leaf").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / F.lit(float(BUCKET))).cast("int"))
+    members = by_key(members, C.written(sizes), "leaf", "node").join(classes.withColumn("id", F.coalesce("rep", F.lit(NO_ID))), "node")
     members = C.written(members.select("node", "leaf", "blocks", "id", "k1", "k2", "copies"))
     wanted = spark.sparkContext.broadcast(C.bit_filter(members.select(F.col("id").alias("v")).mapInPandas(_mixed_ids, "h long"), "h", members.count()))
     with C.small_batches(spark):

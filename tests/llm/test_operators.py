@@ -449,6 +449,7 @@ def test_decontamination(docs, rows, none, spark):
 def test_components(spark):
     rng = random.Random(9)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(k, k + 1) for k in range(1000, 1100)]
+    links += [(5000, k) for k in range(5001, 6200)]  # more than LARGE
     root = brute.components({x for p in links for x in p}, links)
     found = {r["v"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {k: v for k, v in root.items() if k != v}
