@@ -8,16 +8,21 @@ its own. A part also builds its piece of the filter: a pair with count c enters
 too low, and rarely one level too high.
 
 The filter grows with what was counted: ITEM_BITS for each item, nothing is left out. Up to
-`filter_bytes` it is broadcast. A larger one stays in its parts: the distinct words and pairs of
-each chunk of documents go to the parts by a shuffle, and their levels come back to the chunk. Both
-ways give the same scores. The base scores use exact counts: those of the most frequent words (at
-most HEAD, broadcast) in the scoring pass, those of the others by a join.
+`filter_bytes` it is broadcast. The base scores then use exact counts: those of the most frequent
+words (at most HEAD, broadcast) in the scoring pass, those of the others by a join.
+
+A larger filter never leaves its parts. The distinct words and pairs of each chunk of documents go
+to the parts once, with their counts if the chunk is learned from. A part sums them, builds its
+pieces of the filter, looks each distinct word or pair up once and answers all chunks: a level a
+byte, and for words the exact count. A chunk meets its answers by its number and is scored from
+them alone. Both ways give the same scores.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +33,8 @@ from parquill.llm import _common as C
 HEAD = 1 << 18
 #: The largest filter that is broadcast.
 FILTER_BYTES = 128 << 20
+#: Texts of more than so many times the filter that may be broadcast are not counted for one.
+TEXT_SHARE = 8
 LEVEL_BASE = 1.5
 LEVELS = 64
 ITEM_BITS = 8
@@ -37,6 +44,8 @@ PRIOR = 4.0
 #: Tokens that a task counts at a time, and bytes of text that it takes in and scores at a time.
 TOKENS = 1_000_000
 BYTES = 2 << 20
+#: Bytes of text whose words and pairs are asked for at a time.
+CHUNK_BYTES = 4 << 20
 #: Parts that a task deals to at once, bytes of text for each part in the end, and bytes of counts merged at a time.
 FAN = 1024
 PART_BYTES = 4 << 20
@@ -49,16 +58,23 @@ MOST = (1 << 32) - 1
 
 COUNTED = "kind int, seg int, data binary"
 PART = "kind int, seg int, total long, kinds long, levels array<long>, counts binary, bits long, filter binary"
-CHUNK = "chunk long, ids array<string>, texts array<string>"
-PROBE = "chunk long, kind int, seg int, data binary"
-SCORED = "row long, doc_id long, n_tokens long, head_known long, head_sum double, score double, tail array<long>"
+CHUNK = "chunk long, learned boolean, ids array<string>, sizes array<int>, texts binary"
+ASKED = "chunk long, kind int, seg int, data binary"
+#: chunk is -1 in the row that sums up a part.
+ANSWER = "chunk long, kind int, seg int, data binary, total long, kinds long"
+SUMS = "doc_id long, n_tokens long, head_known long, head_sum double, score double"
+SCORED = f"row long, {SUMS}, tail array<long>"
 
 
-def _tokens(texts: list, cache: C.WordHashes):
+def _utf8(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _tokens(texts: list[bytes], cache: C.WordHashes):
     """Token hashes of the documents, each with its end, the hashes before them, and offsets."""
     lists = []
     for t in texts:
-        lists.append([w for w in (t or "").encode("utf-8", "surrogatepass").lower().split()])
+        lists.append(t.lower().split())
         lists[-1].append(END)
     h, offsets = C.hashed(lists, cache)
     before = np.empty_like(h)
@@ -108,7 +124,7 @@ def _counted(n_parts: int):
         for pdf in batches:
             texts = pdf["text"].tolist()
             for a, b in C.chunks(texts, BYTES):
-                h, before, _ = _tokens(texts[a:b], cache)
+                h, before, _ = _tokens([_utf8(t) for t in texts[a:b]], cache)
                 held.append((C.mix(h), _pairs(before, h)))
                 size += len(h)
                 if size >= TOKENS:
@@ -173,21 +189,27 @@ def _places(h: np.ndarray, level, bits) -> list[np.ndarray]:
     return [(a + np.uint64(j) * b) % bits for j in range(PROBES)]
 
 
+def _piece(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, int, bytes]:
+    """Counted hashes of one part: how many have each level, and the part's piece of the filter with its bits."""
+    level = level_of(c)
+    hist = np.bincount(level, minlength=LEVELS)
+    bits = max(64, -(-int((hist * np.arange(LEVELS)).sum()) * ITEM_BITS // 64) * 64)
+    held = np.zeros(bits, bool)
+    for j in range(1, int(level.max(initial=0)) + 1):
+        for p in _places(h[level >= j], j, np.uint64(bits)):
+            held[p.astype(np.int64)] = True
+    return hist, bits, np.packbits(held).tobytes()
+
+
 def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
     """Counts and filter of one part."""
     try:
         h, c = _merged(list(pdf["data"]))
-        level = level_of(c)
-        hist = np.bincount(level, minlength=LEVELS)
-        bits = max(64, -(-int((hist * np.arange(LEVELS)).sum()) * ITEM_BITS // 64) * 64)
-        held = np.zeros(bits, bool)
-        for j in range(1, int(level.max(initial=0)) + 1):
-            for p in _places(h[level >= j], j, np.uint64(bits)):
-                held[p.astype(np.int64)] = True
+        hist, bits, held = _piece(h, c)
         kind = int(pdf["kind"].iloc[0])
         return pd.DataFrame({
             "kind": [kind], "seg": [int(pdf["seg"].iloc[0])], "total": [int(c.sum())], "kinds": [len(h)], "levels": [hist.tolist()],
-            "counts": [h.tobytes() + c.tobytes() if kind == WORD else None], "bits": [bits], "filter": [np.packbits(held).tobytes()],
+            "counts": [h.tobytes() + c.tobytes() if kind == WORD else None], "bits": [bits], "filter": [held],
         })
     finally:
         C.release()
@@ -223,13 +245,13 @@ class Filter:
         return out
 
 
-def _sums(tokens, ids, first_row: int, words, pairs, head_, total: int, kinds: int) -> pd.DataFrame:
-    """Per document: sums over its tokens, and the hashes of words outside the head.
+def _sums(tokens, ids, words, pairs, exact, total: int, kinds: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """Per document: sums over its tokens. Also the words of all tokens, and which of them `exact` knows.
 
-    `words` and `pairs` give the levels of sorted distinct hashes.
+    `words` and `pairs` give the levels of sorted distinct hashes, `exact` the counts of words, or 0.
     """
     counts, size = count_of_level(), total + kinds + 1
-    (h, before, offsets), (head, head_counts) = tokens, head_
+    h, before, offsets = tokens
     one, inverse = np.unique(C.mix(h), return_inverse=True)
     own = counts[words(one)]
     end = own[inverse[offsets[1] - 1]]
@@ -240,79 +262,177 @@ def _sums(tokens, ids, first_row: int, words, pairs, head_, total: int, kinds: i
     two, where = np.unique(_pairs(before, h), return_inverse=True)
     both = np.minimum(counts[pairs(two)][where], past)
     p = np.minimum((both + PRIOR * p_word) / (past + PRIOR), 1.0)
-    at = np.minimum(np.searchsorted(head, one), max(0, len(head) - 1))
-    known = head[at] == one if len(head) else np.zeros(len(one), bool)
-    exact = np.where(known, np.log10(np.where(known, head_counts[at] if len(head) else 1, 0) + 1.0), 0.0)[inverse]
-    known = known[inverse]
+    times = exact(one)
+    logs, known = np.log10(times + 1.0)[inverse], (times > 0)[inverse]
     out = pd.DataFrame({
-        "row": first_row + np.arange(len(ids)), "doc_id": pd.array([None if pd.isna(i) else int(i) for i in ids], "Int64"), "n_tokens": np.diff(offsets),
-        "head_known": np.add.reduceat(known.astype(np.int64), offsets[:-1]), "head_sum": np.add.reduceat(exact, offsets[:-1]), "score": np.add.reduceat(np.log10(p), offsets[:-1]),
+        "doc_id": pd.array([None if pd.isna(i) else int(i) for i in ids], "Int64"), "n_tokens": np.diff(offsets),
+        "head_known": np.add.reduceat(known.astype(np.int64), offsets[:-1]), "head_sum": np.add.reduceat(logs, offsets[:-1]), "score": np.add.reduceat(np.log10(p), offsets[:-1]),
     })
-    signed = one.view(np.int64)[inverse]
-    out["tail"] = [signed[x:y][~known[x:y]] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
-    return out
+    return out, one.view(np.int64)[inverse], known
 
 
-def _chunked(batches):
-    """Each chunk of documents as one row."""
-    number = TaskContext.get().partitionId() << 32
-    for pdf in batches:
-        ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
-        for a, b in C.chunks(texts, BYTES):
-            yield pd.DataFrame({"chunk": [number], "ids": [ids[a:b]], "texts": [texts[a:b]]})
-            number += 1
+def _in_head(head: np.ndarray, head_counts: np.ndarray):
+    """Counts of sorted words, 0 of those outside the head."""
+
+    def exact(one: np.ndarray) -> np.ndarray:
+        if not len(head):
+            return np.zeros(len(one), np.int64)
+        at = np.minimum(np.searchsorted(head, one), len(head) - 1)
+        return np.where(head[at] == one, head_counts[at], 0)
+
+    return exact
 
 
 def _scored(words_, pairs_, head_, total: int, kinds: int):
-    """Scores with the whole filter at hand."""
+    """Scores with the whole filter at hand, and the words outside the head."""
 
     def run(batches):
         cache, row = C.WordHashes(), TaskContext.get().partitionId() << 32
+        exact = _in_head(*head_.value)
         for pdf in batches:
             ids, texts = pdf["id"].tolist(), pdf["text"].tolist()
             for a, b in C.chunks(texts, BYTES):
-                yield _sums(_tokens(texts[a:b], cache), ids[a:b], row, words_.value.levels, pairs_.value.levels, head_.value, total, kinds)
+                tokens = _tokens([_utf8(t) for t in texts[a:b]], cache)
+                out, words, known = _sums(tokens, ids[a:b], words_.value.levels, pairs_.value.levels, exact, total, kinds)
+                out.insert(0, "row", row + np.arange(b - a))
+                out["tail"] = [words[x:y][~known[x:y]] for x, y in zip(tokens[2][:-1], tokens[2][1:], strict=True)]
+                yield out
                 row += b - a
 
     return run
 
 
-def _probes(n_segments: int):
-    """The distinct words and pairs of each chunk, cut by parts of the hash space."""
+def _chunked(batches):
+    """Documents in chunks of one row each, those to learn from apart from the others."""
+    number = TaskContext.get().partitionId() << 32
+    held, size = {True: [], False: []}, {True: 0, False: 0}
+
+    def row(learned):
+        some, held[learned], size[learned] = held[learned], [], 0
+        texts = pa.compress(b"".join(t for _, t in some), codec="zstd", asbytes=True)
+        return pd.DataFrame({"chunk": [number], "learned": [learned], "ids": [[i for i, _ in some]], "sizes": [[len(t) for _, t in some]], "texts": [texts]})
+
+    for pdf in batches:
+        for i, text, learned in zip(pdf["id"].tolist(), pdf["text"].tolist(), pdf["learned"].tolist(), strict=True):
+            text = _utf8(text)
+            held[learned].append((None if pd.isna(i) else i, text))
+            size[learned] += len(text) + 1
+            if size[learned] >= CHUNK_BYTES:
+                yield row(learned)
+                number += 1
+    for learned in held:
+        if held[learned]:
+            yield row(learned)
+            number += 1
+
+
+def _tokens_of_chunk(sizes, data: bytes):
+    """As _tokens, for the texts of one chunk."""
+    ends = np.cumsum(sizes).tolist()
+    text = pa.decompress(data, decompressed_size=ends[-1], codec="zstd", asbytes=True) if ends[-1] else b""
+    texts = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    cache = C.WordHashes()
+    lots = [_tokens(texts[a:b], cache) for a, b in C.chunks(texts, BYTES)]
+    starts = np.cumsum([0, *[len(x[0]) for x in lots]])
+    return np.concatenate([x[0] for x in lots]), np.concatenate([x[1] for x in lots]), np.concatenate([[0], *[x[2][1:] + n for x, n in zip(lots, starts, strict=False)]])
+
+
+def _asked(n_parts: int):
+    """The distinct words and pairs of each chunk, with counts if it is learned from, cut for the parts."""
 
     def run(batches):
-        cache = C.WordHashes()
         for pdf in batches:
-            for chunk, texts in zip(pdf["chunk"].tolist(), pdf["texts"], strict=True):
-                h, before, _ = _tokens(list(texts), cache)
-                for kind, x in ((WORD, np.unique(C.mix(h))), (PAIR, np.unique(_pairs(before, h)))):
-                    rows = [(chunk, kind, s, x[a:b].tobytes()) for s, a, b in _dealt(x, n_segments)]
+            for chunk, learned, sizes, data in zip(pdf["chunk"].tolist(), pdf["learned"].tolist(), pdf["sizes"], pdf["texts"], strict=True):
+                h, before, _ = _tokens_of_chunk(sizes, data)
+                for kind, every in ((WORD, C.mix(h)), (PAIR, _pairs(before, h))):
+                    x, c = np.unique(every, return_counts=True)
+                    c *= learned
+                    rows = [(chunk, kind, s, _packed(x[a:b], c[a:b])) for s, a, b in _dealt(x, n_parts)]
                     yield pd.DataFrame(rows, columns=["chunk", "kind", "seg", "data"])
 
     return run
 
 
-def _answered(probes: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
-    """The levels of one part's probes, a byte each."""
-    held = Filter([(0, int(b), bytes(f)) for b, f in zip(parts["bits"], parts["filter"], strict=True)], 1) if len(parts) else None
-    levels = [np.zeros(len(x) // 8, np.uint8) if held is None else held.levels(np.frombuffer(x, np.uint64)).astype(np.uint8) for x in probes["data"]]
-    return probes[["chunk", "kind", "seg"]].assign(data=[x.tobytes() for x in levels])
+def _answer(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Of asked hashes with the counts that came with them: levels, whole counts, and the number of distinct ones that were counted."""
+    order = np.argsort(h)
+    h = h[order]
+    first = np.concatenate([[True], h[1:] != h[:-1]])
+    at = np.flatnonzero(first)
+    one, counts = h[at], np.add.reduceat(c[order].astype(np.int64), at)
+    seen = counts > 0
+    _, bits, held = _piece(one[seen], counts[seen])
+    levels = Filter([(0, bits, held)], 1).levels(one).astype(np.uint8)
+    where = np.empty(len(h), np.int64)
+    where[order] = np.cumsum(first) - 1
+    return levels[where], counts[where], int(seen.sum())
+
+
+def _answered(n_segments: int, n_parts: int):
+    """All answers of one part, which may stand for several pieces of the filter, and its sums."""
+    within = range(1, n_segments // n_parts)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            kind, part = int(pdf["kind"].iloc[0]), int(pdf["seg"].iloc[0])
+            asked = [_unpacked(x) for x in pdf["data"]]
+            edges = np.array([(part * (len(within) + 1) + i) << int(_shift(n_segments)) for i in within], np.uint64)
+            cuts = np.array([[0, *np.searchsorted(h, edges), len(h)] for h, _ in asked])
+            levels, counts = [np.empty(len(h), np.uint8) for h, _ in asked], [np.empty(len(h), np.int64) for h, _ in asked]
+            total = kinds = 0
+            for i in range(len(within) + 1):
+                a, b = cuts[:, i].tolist(), cuts[:, i + 1].tolist()
+                if sum(b) == sum(a):
+                    continue
+                found, times, n = _answer(*(np.concatenate([x[j][s:e] for x, s, e in zip(asked, a, b, strict=True)]) for j in (0, 1)))
+                total, kinds = total + sum(int(x[1][s:e].sum(dtype=np.int64)) for x, s, e in zip(asked, a, b, strict=True)), kinds + n
+                at = 0
+                for k, (s, e) in enumerate(zip(a, b, strict=True)):
+                    levels[k][s:e], counts[k][s:e] = found[at : at + e - s], times[at : at + e - s]
+                    at += e - s
+            data = [x.tobytes() + (y.view(np.uint8).reshape(-1, 8).T.tobytes() if kind == WORD else b"") for x, y in zip(levels, counts, strict=True)]
+            rows = pd.DataFrame({"chunk": pdf["chunk"], "kind": kind, "seg": part, "data": data, "total": 0, "kinds": 0})
+            return pd.concat([rows, pd.DataFrame({"chunk": [-1], "kind": [kind], "seg": [part], "data": [None], "total": [total], "kinds": [kinds]})])
+        finally:
+            C.release()
+
+    return run
 
 
-def _scored_chunk(head_, total: int, kinds: int):
-    """Scores of one chunk from the levels that came back."""
+def _scored_chunk(total: int, kinds: int):
+    """Scores of one chunk from its answers."""
 
     def run(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        # sorted hashes lie in the order of their parts
-        answers = answers.sort_values("seg")
-        words, pairs = (np.frombuffer(b"".join(answers["data"][answers["kind"] == kind]), np.uint8) for kind in (WORD, PAIR))
-        number = int(chunk["chunk"].iloc[0])
-        tokens = _tokens(list(chunk["texts"].iloc[0]), C.WordHashes())
-        return _sums(tokens, list(chunk["ids"].iloc[0]), 0, lambda _: words, lambda _: pairs, head_.value, total, kinds).assign(chunk=number)
+        try:
+            # sorted hashes lie in the order of their parts
+            answers = answers.sort_values("seg")
+            own = [x for x in answers["data"][answers["kind"] == WORD]]
+            ns = [len(x) // 9 for x in own]
+            words = np.concatenate([np.frombuffer(x, np.uint8, n) for x, n in zip(own, ns, strict=True)])
+            times = np.concatenate([np.ascontiguousarray(np.frombuffer(x, np.uint8, 8 * n, n).reshape(8, n).T).view(np.int64).reshape(n) for x, n in zip(own, ns, strict=True)])
+            pairs = np.frombuffer(b"".join(answers["data"][answers["kind"] == PAIR]), np.uint8)
+            tokens = _tokens_of_chunk(chunk["sizes"].iloc[0], chunk["texts"].iloc[0])
+            return _sums(tokens, list(chunk["ids"].iloc[0]), lambda _: words, lambda _: pairs, lambda _: times, total, kinds)[0]
+        finally:
+            C.release()
 
     return run
 
 
+def _asked_by_chunks(docs: DataFrame, is_held, n_segments: int, n_parts: int) -> tuple[DataFrame, int, int]:
+    """Sums over the tokens of each document without a filter in one place; tokens learned from, and how many are distinct."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.coalesce(~is_held, F.lit(False)).alias("learned"))
+    with C.small_batches(spark):
+        chunks = C.written(texts.mapInPandas(C.frugal(_chunked), CHUNK))
+        asked = chunks.select("chunk", "learned", "sizes", "texts").mapInPandas(C.frugal(_asked(n_parts)), ASKED)
+        answers = C.written(asked.groupBy("kind", "seg").applyInPandas(_answered(n_segments, n_parts), ANSWER))
+    total, kinds = answers.where(f"chunk = -1 and kind = {WORD}").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    own = answers.where("chunk >= 0").select("chunk", "kind", "seg", "data")
+    step = chunks.select("chunk", "ids", "sizes", "texts").groupBy("chunk").cogroup(own.groupBy("chunk")).applyInPandas(_scored_chunk(total, kinds), SUMS)
+    return step, total, kinds
+
+
 def _words_of_parts(batches):
     for pdf in batches:
         for data in pdf["counts"]:
@@ -327,7 +447,8 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     doc_id as text, modulo `fold`, is `held_out`. Result: doc_id, held_out, n_tokens, n_known
     (tokens seen in training), train_tokens, base_score (add-one word model, exact counts), score
     (pair counts from the filter, with PRIOR counts spread by word frequency). A filter of more than
-    `filter_bytes` is asked by a shuffle instead of a broadcast, with the same scores.
+    `filter_bytes` is asked by a shuffle instead of a broadcast, with the same scores; texts of more
+    than TEXT_SHARE times that are taken to need one. `fan`, a power of two, is the most parts dealt to at once.
 
     A null or empty text is a document of one token, the end. A very long text is scored whole, by the
     task that holds its row. A null doc_id is scored, with null
@@ -337,15 +458,37 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     docs = C.named(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_held = F.expr(f"crc32(cast(doc_id as string)) % {fold} = {held_out}")
-    n_segments = C.segments(C.text_bytes(docs), each=PART_BYTES)
+    n_bytes = C.text_bytes(docs)
+    n_segments = C.segments(n_bytes, each=PART_BYTES)
     n_parts = min(n_segments, fan)
+
+    def result(step: DataFrame, total: int, kinds: int, tail_known, tail_sum) -> DataFrame:
+        return step.select(
+            "doc_id", "held_out", "n_tokens",
+            (F.col("head_known") + tail_known).alias("n_known"),
+            F.lit(total).cast("long").alias("train_tokens"),
+            (F.col("head_sum") + tail_sum - F.col("n_tokens") * F.lit(float(np.log10(total + kinds + 1)))).alias("base_score"),
+            "score",
+        )
+
+    def asked() -> DataFrame:
+        step, total, kinds = _asked_by_chunks(docs, is_held, n_segments, n_parts)
+        return result(step.withColumn("held_out", is_held), total, kinds, F.lit(0), F.lit(0.0))
+
+    if n_bytes > TEXT_SHARE * filter_bytes:
+        return asked()
     with C.small_batches(spark):
         blobs = docs.where(~is_held).select("text").mapInPandas(C.frugal(_counted(n_parts)), COUNTED)
-        while n_parts < n_segments:
-            n_parts = min(n_segments, n_parts * fan)
-            blobs = blobs.repartition("kind", "seg").mapInPandas(C.frugal(_dealt_on(n_parts)), COUNTED)
+        dealt = n_parts
+        while dealt < n_segments:
+            dealt = min(n_segments, dealt * fan)
+            blobs = blobs.repartition("kind", "seg").mapInPandas(C.frugal(_dealt_on(dealt)), COUNTED)
         parts = C.written(blobs.groupBy("kind", "seg").applyInPandas(_summed, PART))
     n_bits = parts.agg(F.sum("bits")).first()[0] or 0
+    # each part of a broadcast filter costs 16 bytes more for each kind
+    if n_bits // 8 + 32 * n_segments > filter_bytes:
+        C.discard(parts)
+        return asked()
     totals = parts.where(f"kind = {WORD}").agg(F.sum("total"), F.sum("kinds"), *[F.sum(F.col("levels")[j]) for j in range(LEVELS)]).first()
     total, kinds, hist = totals[0] or 0, totals[1] or 0, np.array([x or 0 for x in totals[2:]])
     fits = np.flatnonzero(np.cumsum(hist[::-1])[::-1] <= HEAD)
@@ -357,27 +500,12 @@ def lm_scoring(docs: DataFrame, *, fold: int = 7, held_out: int = 2, filter_byte
     order = np.argsort(w)
     head = sc.broadcast((w[order], c[order]))
     texts = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
-    # each part of a broadcast filter costs 16 bytes more for each kind
-    if n_bits // 8 + 32 * n_segments <= filter_bytes:
-        made = {}
-        for kind in (WORD, PAIR):
-            made[kind] = Filter([(r[0], r[1], bytes(r[2])) for r in parts.where(f"kind = {kind}").select("seg", "bits", "filter").toLocalIterator()], n_segments)
-        step = texts.mapInPandas(C.frugal(_scored(sc.broadcast(made[WORD]), sc.broadcast(made[PAIR]), head, total, kinds)), SCORED)
-    else:
-        with C.small_batches(spark):
-            chunks = C.written(texts.mapInPandas(C.frugal(_chunked), CHUNK))
-        probes = chunks.select("chunk", "texts").mapInPandas(C.frugal(_probes(n_segments)), PROBE)
-        answers = probes.groupBy("kind", "seg").cogroup(parts.select("kind", "seg", "bits", "filter").groupBy("kind", "seg")).applyInPandas(_answered, PROBE)
-        step = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_scored_chunk(head, total, kinds), SCORED + ", chunk long")
-        step = step.withColumn("row", F.monotonically_increasing_id()).drop("chunk")
+    made = {}
+    for kind in (WORD, PAIR):
+        made[kind] = Filter([(r[0], r[1], bytes(r[2])) for r in parts.where(f"kind = {kind}").select("seg", "bits", "filter").toLocalIterator()], n_segments)
+    step = texts.mapInPandas(C.frugal(_scored(sc.broadcast(made[WORD]), sc.broadcast(made[PAIR]), head, total, kinds)), SCORED)
     with C.small_batches(spark):
         step = C.written(step.withColumn("held_out", is_held))
     tail = step.select("row", F.explode("tail").alias("w")).join(words.where(~is_head), "w").groupBy("row")
     tail = tail.agg(F.count("*").alias("tail_known"), F.sum(F.log10(F.col("c") + F.lit(1.0))).alias("tail_sum"))
-    return step.join(tail, "row", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("head_sum") + F.coalesce("tail_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(total + kinds + 1)))).alias("base_score"),
-        "score",
-    )
+    return result(step.join(tail, "row", "left"), total, kinds, F.coalesce("tail_known", F.lit(0)), F.coalesce("tail_sum", F.lit(0.0)))

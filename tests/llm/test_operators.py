@@ -118,6 +118,48 @@ def test_lm_other_ways_same_scores(docs, none):
     assert M.lm_scoring(none, filter_bytes=1).count() == 0
 
 
+def test_lm_large_filter_without_head_and_counts(docs, monkeypatch):
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["score"])
+    asked = sorted(M.lm_scoring(docs, filter_bytes=1).collect(), key=key)
+    monkeypatch.setattr(M, "TEXT_SHARE", 1 << 40)  # counted first, found too large
+    assert sorted(M.lm_scoring(docs, filter_bytes=1).collect(), key=key) == asked
+    monkeypatch.setattr(M, "HEAD", 3)  # nearly all exact counts by a join
+    for r, e in zip(sorted(M.lm_scoring(docs).collect(), key=key), asked, strict=True):
+        assert r[:5] == e[:5] and r[6] == e[6] and math.isclose(r[5], e[5], rel_tol=1e-12)
+
+
+@pytest.mark.parametrize("kind", [M.WORD, M.PAIR])
+def test_lm_part_looks_each_up_once(kind, monkeypatch):
+    """A part that stands for four pieces answers 200 chunks, half of them learned from, by one lookup for each distinct hash."""
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    every = np.unique(rng.integers(0, 1 << 62, 2000).astype(np.uint64)) | np.uint64(1 << 62)  # the second of four parts
+    held = [np.sort(rng.choice(every, 300, replace=False)) for _ in range(200)]
+    counts = [rng.integers(1, 1 << 32, 300) * (k % 2) for k in range(200)]
+    sums = {}
+    for h, c in zip(held, counts, strict=True):
+        for x, n in zip(h.tolist(), c.tolist(), strict=True):
+            sums[x] = sums.get(x, 0) + n
+    looked, calls, levels = [], [], M.Filter.levels
+    monkeypatch.setattr(M.Filter, "levels", lambda self, h: (looked.extend(h.tolist()), calls.append(1), levels(self, h))[2])
+    asked = pd.DataFrame({"chunk": range(200), "kind": kind, "seg": 1, "data": [M._packed(h, c) for h, c in zip(held, counts, strict=True)]})
+    out = M._answered(16, 4)(asked.sample(frac=1, random_state=0))
+    assert len(calls) == 4 and sorted(looked) == sorted(sums)
+    own = out[out["chunk"] == -1].iloc[0]
+    assert (own["kind"], own["seg"], own["total"], own["kinds"]) == (kind, 1, sum(sums.values()), sum(n > 0 for n in sums.values()))
+    by = out[out["chunk"] >= 0].set_index("chunk")["data"]
+    assert len(by) == 200
+    for k, h in enumerate(held):
+        exact = np.array([sums[x] for x in h.tolist()])
+        got = np.frombuffer(by[k], np.uint8, 300)
+        assert (got[exact > 0] >= M.level_of(exact[exact > 0])).all() and (got == np.where(exact > 0, M.level_of(np.maximum(exact, 1)), 0)).mean() > 0.9
+        if kind == M.WORD:
+            assert (np.ascontiguousarray(np.frombuffer(by[k], np.uint8, 2400, 300).reshape(8, 300).T).view(np.int64).reshape(-1) == exact).all()
+        else:
+            assert len(by[k]) == 300
+
+
 def test_lm_pieces_of_large_counts():
     import pandas as pd
 
